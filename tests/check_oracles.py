@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -22,6 +23,9 @@ TABLES = (
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
+    con.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='run-')}'")
+    con.execute("SET max_temp_directory_size = '2GB'")
+    con.execute("SET memory_limit = '8GB'")
     for name in TABLES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return con

@@ -421,19 +421,17 @@ WHERE NOT EXISTS (SELECT 1 FROM stop s WHERE s.lang = t.lang AND s.w = t.w)""",
 SELECT lang, w, count(*) AS tf, count(DISTINCT doc_id) AS df FROM words GROUP BY lang, w""",
     "bigram_counts": f"WITH {BIGRAMS} SELECT lang, w1, w2, n FROM bigrams",
     "collocations": f"""WITH {BIGRAMS},
-f AS (SELECT lang, w1, sum(n) AS c1 FROM bigrams GROUP BY lang, w1),
-s AS (SELECT lang, w2, sum(n) AS c2 FROM bigrams GROUP BY lang, w2),
-t AS (SELECT lang, sum(n) AS total FROM bigrams GROUP BY lang),
 k AS (
-  SELECT b.lang, b.w1, b.w2, b.n, CAST(b.n AS DOUBLE) AS k11, CAST(f.c1 AS DOUBLE) AS c1, CAST(s.c2 AS DOUBLE) AS c2,
-    CAST(t.total AS DOUBLE) AS total
-  FROM bigrams b JOIN f ON b.lang = f.lang AND b.w1 = f.w1 JOIN s ON b.lang = s.lang AND b.w2 = s.w2
-    JOIN t ON b.lang = t.lang WHERE b.n >= 5),
+  SELECT lang, w1, w2, n, CAST(n AS DOUBLE) AS k11,
+    CAST(sum(n) OVER (PARTITION BY lang, w1) AS DOUBLE) AS c1,
+    CAST(sum(n) OVER (PARTITION BY lang, w2) AS DOUBLE) AS c2,
+    CAST(sum(n) OVER (PARTITION BY lang) AS DOUBLE) AS total
+  FROM bigrams),
 scored AS (
   SELECT lang, w1, w2, n, round(2 * (
     ({_xlogx('k11')}) + ({_xlogx('(c1 - k11)')}) + ({_xlogx('(c2 - k11)')}) + ({_xlogx('(total - c1 - c2 + k11)')})
     - (({_xlogx('c1')}) + ({_xlogx('(total - c1)')})) - (({_xlogx('c2')}) + ({_xlogx('(total - c2)')}))
-    + ({_xlogx('total')})), 3) AS llr FROM k),
+    + ({_xlogx('total')})), 3) AS llr FROM k WHERE n >= 5),
 best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY llr DESC, w1, w2) AS rank FROM scored)
 SELECT lang, w1, w2, n, llr, CAST(rank AS INTEGER) AS rank FROM best WHERE rank <= 500""",
     "pair_scan": f"WITH {TEMPLATES} SELECT * FROM templates",
@@ -447,25 +445,17 @@ given AS (
 filled AS (
   SELECT lang, 'Y' AS slot, w1 AS p, w2 AS f, n FROM all_bigrams
   UNION ALL SELECT lang, 'X', w2, w1, n FROM all_bigrams),
-cp AS (SELECT lang, slot, p, sum(n) AS cp FROM filled GROUP BY ALL),
-cf AS (SELECT lang, slot, f, sum(n) AS cf FROM filled GROUP BY ALL),
-t AS (SELECT lang, sum(n) AS total FROM all_bigrams GROUP BY lang),
 mi AS (
-  SELECT x.lang, x.slot, x.p, x.f,
-    ln(CAST(x.n AS DOUBLE) * CAST(t.total AS DOUBLE) / (CAST(cp.cp AS DOUBLE) * CAST(cf.cf AS DOUBLE))) AS mi
-  FROM filled x JOIN cp ON x.lang = cp.lang AND x.slot = cp.slot AND x.p = cp.p
-    JOIN cf ON x.lang = cf.lang AND x.slot = cf.slot AND x.f = cf.f JOIN t ON x.lang = t.lang),
-feat AS (SELECT * FROM mi WHERE mi > 0),
-mass AS (SELECT lang, slot, p, sum(mi) AS mass FROM feat GROUP BY ALL),
-slots AS (
-  SELECT g.lang, g.p, g.q, a.slot, sum(a.mi + b.mi) AS shared
+  SELECT lang, slot, p, f, ln(CAST(n AS DOUBLE) * CAST(sum(n) OVER (PARTITION BY lang, slot) AS DOUBLE)
+    / (CAST(sum(n) OVER (PARTITION BY lang, slot, p) AS DOUBLE)
+       * CAST(sum(n) OVER (PARTITION BY lang, slot, f) AS DOUBLE))) AS mi
+  FROM filled),
+feat AS (SELECT *, sum(mi) OVER (PARTITION BY lang, slot, p) AS mass FROM mi WHERE mi > 0),
+sims AS (
+  SELECT g.lang, g.p, g.q, a.slot, sum(a.mi + b.mi) / (max(a.mass) + max(b.mass)) AS ratio
   FROM given g JOIN feat a ON a.lang = g.lang AND a.p = g.p
     JOIN feat b ON b.lang = g.lang AND b.p = g.q AND b.slot = a.slot AND b.f = a.f
-  GROUP BY ALL),
-sims AS (
-  SELECT s.lang, s.p, s.q, s.slot, s.shared / (m.mass + k.mass) AS ratio
-  FROM slots s JOIN mass m ON m.lang = s.lang AND m.slot = s.slot AND m.p = s.p
-    JOIN mass k ON k.lang = s.lang AND k.slot = s.slot AND k.p = s.q)
+  GROUP BY g.lang, g.p, g.q, a.slot)
 SELECT g.lang, g.p, g.q, round(sqrt(coalesce(x.ratio, 0) * coalesce(y.ratio, 0)), 3) AS similarity
 FROM given g LEFT JOIN sims x ON x.lang = g.lang AND x.p = g.p AND x.q = g.q AND x.slot = 'X'
   LEFT JOIN sims y ON y.lang = g.lang AND y.p = g.p AND y.q = g.q AND y.slot = 'Y'""",

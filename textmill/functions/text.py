@@ -33,17 +33,19 @@ def word_array(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
 
 
-def tag(token: Column) -> Column:
-    """Part-of-speech tag of one token by closed-class words, shape and suffix."""
-    low = F.lower(token)
+def tag(token: Column, low: Column) -> Column:
+    """Part-of-speech tag of one token by closed-class words, shape and suffix.
+
+    ``low`` is the lower-cased token, computed once by the caller.
+    """
     first = F.substring(token, 1, 1)
     out = F.when(token.isin(".", "!", "?"), F.lit("."))
     out = out.when(token.isin(",", ";", ":"), token)
     for name, words in K.CLOSED_CLASS.items():
         out = out.when(low.isin(*words), F.lit(name))
     out = out.when(~token.rlike(r"^[\p{L}\p{N}]"), F.lit("SYM"))
-    out = out.when(token.rlike("^[0-9]+$"), F.lit("CD"))
-    out = out.when(first != F.lower(first), F.lit("NNP"))
+    out = out.when(first.between("0", "9") & token.rlike("^[0-9]+$"), F.lit("CD"))
+    out = out.when(first != F.substring(low, 1, 1), F.lit("NNP"))
     for suffix, name in K.SUFFIX_TAGS:
         out = out.when(F.endswith(low, F.lit(suffix)), F.lit(name))
     return out.otherwise(F.lit("NN"))
@@ -51,11 +53,15 @@ def tag(token: Column) -> Column:
 
 def tagged_array(tokens: Column) -> Column:
     """Array of ``(tok, tag)`` from an array of tokens."""
-    return F.transform(tokens, lambda t: F.struct(t.alias("tok"), tag(t).alias("tag")))
+    with_low = F.transform(tokens, lambda t: F.struct(t.alias("tok"), F.lower(t).alias("low")))
+    return F.transform(with_low, lambda x: F.struct(x["tok"].alias("tok"), tag(x["tok"], x["low"]).alias("tag")))
 
 
 def pairs_of(items: Column) -> Column:
-    """Neighbours ``(a, b)`` of an array, in order; empty below two items."""
+    """Neighbours ``(a, b)`` of an array, in order; null below two items.
+
+    Pass a column or a lambda's variable, not an expression: it is used often.
+    """
     size = F.size(items)
     return F.when(
         size >= 2,

@@ -64,7 +64,8 @@ def bigram_counts(docs: DataFrame, stop: DataFrame | None = None) -> DataFrame:
     Neighbours come from the document's row.  Stop words go after counting,
     where each pair is one row whatever its frequency.
     """
-    pairs = docs.select("lang", F.explode(X.pairs_of(X.word_array(F.col("text")))).alias("p"))
+    words = docs.select("lang", X.word_array(F.col("text")).alias("_words"))
+    pairs = words.select("lang", F.explode(X.pairs_of(F.col("_words"))).alias("p"))
     counts = pairs.groupBy("lang", F.col("p.a").alias("w1"), F.col("p.b").alias("w2")).agg(
         F.count(F.lit(1)).alias("n")
     )

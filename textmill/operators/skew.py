@@ -15,6 +15,18 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
 
 
+def spread(scan: DataFrame, *key: str) -> DataFrame:
+    """Use all cores on a table whose files give too few splits.
+
+    A table with at least one split per core, as any large one has, stays as
+    it is and is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *key)
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:

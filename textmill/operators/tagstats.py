@@ -10,7 +10,8 @@ from textmill.functions import text as X
 
 def _tagged_tokens(docs: DataFrame) -> DataFrame:
     tokens = F.flatten(F.transform(X.sentence_array(F.col("text")), X.token_array))
-    return docs.select(F.explode(tokens).alias("tok")).select("tok", X.tag(F.col("tok")).alias("tag"))
+    rows = docs.select(F.explode(tokens).alias("tok")).withColumn("w", F.lower("tok"))
+    return rows.select("w", X.tag(F.col("tok"), F.col("w")).alias("tag"))
 
 
 def tag_counts(docs: DataFrame) -> DataFrame:
@@ -19,8 +20,10 @@ def tag_counts(docs: DataFrame) -> DataFrame:
 
 def tag_bigrams(docs: DataFrame) -> DataFrame:
     """Counts of neighbouring tags inside a sentence."""
-    tags = F.transform(X.sentence_array(F.col("text")), lambda s: X.pairs_of(F.transform(X.token_array(s), X.tag)))
-    pairs = docs.select(F.explode(F.flatten(F.filter(tags, lambda p: p.isNotNull()))).alias("p"))
+    tagged = F.transform(F.transform(X.sentence_array(F.col("text")), X.token_array), X.tagged_array)
+    tags = F.transform(tagged, lambda s: s["tag"])
+    pairs = docs.select(F.explode(F.filter(F.transform(tags, X.pairs_of), lambda p: p.isNotNull())).alias("ps"))
+    pairs = pairs.select(F.explode("ps").alias("p"))
     return pairs.groupBy(F.col("p.a").alias("tag1"), F.col("p.b").alias("tag2")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -31,7 +34,7 @@ def tag_lexicon(docs: DataFrame) -> DataFrame:
     so a word meets its tags (a few dozen at most), never its occurrences.
     """
     counts = (
-        _tagged_tokens(docs).groupBy(F.lower("tok").alias("w"), "tag").agg(F.count(F.lit(1)).alias("n"))
+        _tagged_tokens(docs).groupBy("w", "tag").agg(F.count(F.lit(1)).alias("n"))
     )
     best = counts.groupBy("w").agg(
         F.min(F.struct((-F.col("n")).alias("minus_n"), "tag")).alias("best"),

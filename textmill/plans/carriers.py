@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.text import pairs_of, word_array
+from textmill.operators.skew import spread
 from textmill.sources.manifest import parse_manifest
 
 
@@ -52,7 +53,7 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(url, text)``; every twentieth document is missing."""
-    rows = table(spark, sf_dir, "documents").where("doc_id % 20 <> 0")
+    rows = spread(table(spark, sf_dir, "documents"), "doc_id").where("doc_id % 20 <> 0")
     return rows.select(document_url(F.col("doc_id")).alias("url"), "text")
 
 
@@ -127,9 +128,8 @@ def as_messages(events: DataFrame) -> DataFrame:
 
 def template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Template-pair lines ``(doc_id, place, value)`` made of neighbouring words."""
-    rows = table(spark, sf_dir, "documents").select(
-        "doc_id", F.posexplode(pairs_of(word_array(F.col("text")))).alias("place", "w")
-    )
+    words = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", word_array(F.col("text")).alias("ws"))
+    rows = words.select("doc_id", F.posexplode(pairs_of(F.col("ws"))).alias("place", "w"))
     a, b, place = F.col("w.a"), F.col("w.b"), F.col("place")
     p = F.when(place % 4 == 0, F.concat(a, F.lit(" to"))).otherwise(a)
     rhs = F.when(place % 3 == 0, F.concat(F.lit("Y "), b, F.lit(" X"))).otherwise(

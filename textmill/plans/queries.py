@@ -13,6 +13,7 @@ from textmill.functions import strings as S
 from textmill.functions.text import word_array
 from textmill.operators import annotate as A
 from textmill.operators import corpus, pairs, progress, results, sessions, summary, tagstats, tasks
+from textmill.operators.skew import spread
 from textmill.operators.fetch import fetch, fetch_or_error
 from textmill.plans import carriers as C
 from textmill.sinks import tables as sinks
@@ -51,7 +52,7 @@ def _plain_ts(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.table(spark, sf_dir, "documents")
+    return spread(C.table(spark, sf_dir, "documents"), "doc_id")
 
 
 # manifests and tasks

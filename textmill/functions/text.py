@@ -39,11 +39,15 @@ def tag(token: Column, low: Column) -> Column:
     ``low`` is the lower-cased token, computed once by the caller.
     """
     first = F.substring(token, 1, 1)
+    closed = F.when(F.lit(False), F.lit(""))
+    for name, words in K.CLOSED_CLASS.items():
+        closed = closed.when(low.isin(*words), F.lit(name))
+    latin = first.between("a", "z") | first.between("A", "Z")
     out = F.when(token.isin(".", "!", "?"), F.lit("."))
     out = out.when(token.isin(",", ";", ":"), token)
-    for name, words in K.CLOSED_CLASS.items():
-        out = out.when(low.isin(*words), F.lit(name))
-    out = out.when(~token.rlike(r"^[\p{L}\p{N}]"), F.lit("SYM"))
+    # one hash lookup tells most words from the closed classes
+    out = out.when(low.isin(*[w for words in K.CLOSED_CLASS.values() for w in words]), closed)
+    out = out.when(~latin & ~token.rlike(r"^[\p{L}\p{N}]"), F.lit("SYM"))
     out = out.when(first.between("0", "9") & token.rlike("^[0-9]+$"), F.lit("CD"))
     out = out.when(first != F.substring(low, 1, 1), F.lit("NNP"))
     for suffix, name in K.SUFFIX_TAGS:

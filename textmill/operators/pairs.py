@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.operators.skew import join_hot, join_lookup
+from textmill.operators.skew import join_lookup
 from textmill.storage import materialize
 
 
@@ -16,7 +16,7 @@ def pair_symmetry(pairs: DataFrame) -> DataFrame:
     which needs the same slot order.  ``reverse_renamed``: it is present after
     exchanging the names X and Y, too.
     """
-    counts = pairs.groupBy("p", "q", "swapped").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(pairs.groupBy("p", "q", "swapped").agg(F.count(F.lit(1)).alias("n")), "pair-counts")
     reverse = counts.select(
         F.col("q").alias("p"), F.col("p").alias("q"), "swapped", F.lit(True).alias("_reverse")
     )
@@ -60,7 +60,8 @@ def path_similarity(bigrams: DataFrame, pairs: DataFrame) -> DataFrame:
     per_path = mine.groupBy("lang", "slot", "p").agg(F.sum("n").alias("cp"))
     rows = join_lookup(mine, totals, ["lang"], ident)
     rows = join_lookup(rows, per_path, ["lang", "slot", "p"], ident)
-    rows = join_hot(rows, per_filler, ["lang", "slot", "f"], ident)
+    # a filler meets each given word once, so no key is hot
+    rows = rows.join(per_filler, ["lang", "slot", "f"])
     weight = F.ln(F.col("n").cast("double") * F.col("total") / (F.col("cp").cast("double") * F.col("cf")))
     features = materialize(rows.select(*ident, weight.alias("mi")).where("mi > 0"), "features")
 

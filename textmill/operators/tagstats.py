@@ -54,24 +54,24 @@ def tree_tag_words(trees: DataFrame, column: str = "tree") -> DataFrame:
     """Counts of the ``(TAG word)`` leaves in bracketed trees."""
     leaves = F.regexp_extract_all(F.col(column), F.lit(r"\([^() ]+ [^() ]+\)"), F.lit(0))
     leaf = trees.select(F.explode(leaves).alias("leaf"))
+    # "(TAG word)": neither part holds a blank or a bracket
     parts = leaf.select(
-        F.regexp_extract("leaf", r"^\(([^ ]+) (.+)\)$", 1).alias("tag"),
-        F.regexp_extract("leaf", r"^\(([^ ]+) (.+)\)$", 2).alias("word"),
+        F.substr(F.substring_index("leaf", " ", 1), F.lit(2)).alias("tag"),
+        F.substring_index(F.substring_index("leaf", " ", -1), ")", 1).alias("word"),
     )
     return parts.groupBy("tag", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-EDGE = r"([A-Za-z:_]+)\(([^ ]+)-([0-9]+), ([^ ]+)-([0-9]+)\)"
+EDGE = r"([A-Za-z:_]+)\(([^ \n]+)-([0-9]+), ([^ \n]+)-([0-9]+)\)"
 
 
 def dep_edge_counts(parses: DataFrame, column: str = "deps") -> DataFrame:
     """Counts of ``(rel, head, dep)`` in printed dependencies, one edge per line."""
-    edge = parses.select(F.explode(F.split(F.col(column), "\n")).alias("edge"))
-    parts = edge.where(F.col("edge").rlike(EDGE)).select(
-        F.regexp_extract("edge", EDGE, 1).alias("rel"),
-        F.regexp_extract("edge", EDGE, 2).alias("head"),
-        F.regexp_extract("edge", EDGE, 4).alias("dep"),
-    )
+    # tokens hold no tab, so it can part the groups of the one match
+    marked = F.regexp_replace(column, EDGE, "$1\t$2\t$4")
+    edges = parses.select(F.explode(F.split(marked, "\n")).alias("edge")).where(F.contains("edge", F.lit("\t")))
+    groups = edges.select(F.split("edge", "\t").alias("g"))
+    parts = groups.select(F.col("g")[0].alias("rel"), F.col("g")[1].alias("head"), F.col("g")[2].alias("dep"))
     return parts.groupBy("rel", "head", "dep").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -460,8 +460,9 @@ SELECT g.lang, g.p, g.q, round(sqrt(coalesce(x.ratio, 0) * coalesce(y.ratio, 0))
 FROM given g LEFT JOIN sims x ON x.lang = g.lang AND x.p = g.p AND x.q = g.q AND x.slot = 'X'
   LEFT JOIN sims y ON y.lang = g.lang AND y.p = g.p AND y.q = g.q AND y.slot = 'Y'""",
     "threshold_sweep": f"""WITH scored AS (
-  SELECT l.quality AS label, len(list_distinct({WORDS.format('d.text')})) / len({WORDS.format('d.text')}) AS score
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE len({WORDS.format('d.text')}) > 0),
+  SELECT l.quality AS label, CASE WHEN len({WORDS.format('d.text')}) > 0
+    THEN len(list_distinct({WORDS.format('d.text')})) / len({WORDS.format('d.text')}) ELSE 0 END AS score
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 steps AS (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[]) AS threshold),
 c AS (
   SELECT threshold, count(*) FILTER (score >= threshold AND label = 1) AS tp,

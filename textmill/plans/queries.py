@@ -454,7 +454,8 @@ def path_similarity(spark, sf_dir):
 def threshold_sweep(spark, sf_dir):
     """How well the share of distinct words tells the labelled quality."""
     scored = _documents(spark, sf_dir).select("doc_id", word_array(F.col("text")).alias("w"))
-    scored = scored.where(F.size("w") > 0).select("doc_id", (F.size(F.array_distinct("w")) / F.size("w")).alias("score"))
+    share = F.size(F.array_distinct("w")) / F.size("w")
+    scored = scored.select("doc_id", F.when(F.size("w") > 0, share).otherwise(0.0).alias("score"))
     labels = C.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return pairs.threshold_sweep(scored.join(labels, "doc_id"), THRESHOLDS)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.strings import trimmed
@@ -47,35 +47,33 @@ def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _fields(line: Column) -> Column:
-    # trailing empty fields and the carriage return do not count
-    return F.split(F.regexp_replace(line, r"\t*\r?\z", ""), "\t")
+# two tab-separated fields, each with something besides blanks; one match on
+# the raw line, so that the filter does not repeat the parsing
+VALID_LINE = r"^[^\t]*[^\x00-\x20][^\t]*\t[^\t]*[^\x00-\x20]"
 
 
-def _split_lines(lines: DataFrame) -> DataFrame:
-    fields = _fields(F.col("line"))
-    return lines.select(
+def parse_manifest(lines: DataFrame) -> DataFrame:
+    """Tasks ``(job_id, line_no, method, url)`` of the valid lines."""
+    fields = lines.where(F.col("line").rlike(VALID_LINE)).select(
+        "job_id", "line_no", F.split("line", "\t").alias("_fields")
+    )
+    return fields.select(
         "job_id",
         "line_no",
-        F.size(fields).alias("_n"),
-        trimmed(F.get(fields, F.lit(0))).alias("method"),
-        trimmed(F.get(fields, F.lit(1))).alias("url"),
+        trimmed(F.col("_fields")[0]).alias("method"),
+        trimmed(F.col("_fields")[1]).alias("url"),
     )
 
 
-def parse_manifest(lines: DataFrame) -> DataFrame:
-    """Tasks ``(job_id, line_no, method, url)`` of the valid lines."""
-    parts = _split_lines(lines)
-    return parts.where("_n >= 2 and method <> '' and url <> ''").drop("_n")
-
-
 def manifest_rejects(lines: DataFrame) -> DataFrame:
-    """The dropped lines with the reason, ``(job_id, line_no, reason)``."""
-    parts = _split_lines(lines)
-    reason = F.when(F.col("_n") < 2, "too few fields").when(
-        (F.col("method") == "") | (F.col("url") == ""), "empty field"
-    )
-    return parts.select("job_id", "line_no", reason.alias("reason")).where("reason is not null")
+    """The dropped lines with the reason, ``(job_id, line_no, reason)``.
+
+    Empty fields at the end of a line do not count as fields.
+    """
+    few = ~F.col("line").rlike(r"\t+[^\t\r]")
+    reason = F.when(few, "too few fields").otherwise("empty field")
+    rejected = lines.where(~F.col("line").rlike(VALID_LINE))
+    return rejected.select("job_id", "line_no", reason.alias("reason"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

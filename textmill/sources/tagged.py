@@ -11,19 +11,21 @@ from textmill.functions.strings import trimmed
 def parse_tagged(bodies: DataFrame, body: str = "body") -> DataFrame:
     """Add ``(sent_idx, pos, tok, tag)`` to the other columns, one row per token.
 
-    A token may hold ``/``: the tag starts after the last one.
+    A token may hold ``/``: the tag starts after the last one.  Marker lines
+    without a tag give no rows.
     """
     rest = [c for c in bodies.columns if c != body]
     lines = bodies.select(*rest, F.posexplode(F.split(F.col(body), "\n")).alias("sent_idx", "_line"))
-    words = lines.where(trimmed(F.col("_line")) != "").select(
+    words = lines.select(
         *rest, "sent_idx", F.posexplode(F.split(trimmed(F.col("_line")), " ")).alias("pos", "_word")
     )
-    return words.select(
+    name = F.substring_index("_word", "/", -1)
+    return words.where(F.contains("_word", F.lit("/"))).select(
         *rest,
         "sent_idx",
         "pos",
-        F.regexp_extract("_word", "^(.*)/([^/]*)$", 1).alias("tok"),
-        F.regexp_extract("_word", "^(.*)/([^/]*)$", 2).alias("tag"),
+        F.substr(F.col("_word"), F.lit(1), F.length("_word") - F.length(name) - 1).alias("tok"),
+        name.alias("tag"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.strings import trimmed
@@ -22,7 +22,15 @@ def read_stopwords(spark: SparkSession, path: str, lang: str | None = None) -> D
     return parse_stopwords(lines)
 
 
-TEMPLATE = "^([XY]) (.+) ([XY])$"
+# both sides of a line as "X pred Y"; one match on the raw line, as a filter on
+# the parsed columns would be pushed below and parse the line over and over
+_BLANK = r"[\x00-\x08\x0a-\x20]*"
+_SIDE = _BLANK + r"[XY] [^\t]+ [XY]" + _BLANK
+PAIR_LINE = "^" + _SIDE + r"\t" + _SIDE + r"(\t.*)?$"
+
+
+def _predicate(side: Column) -> Column:
+    return F.substr(side, F.lit(3), F.length(side) - 4)
 
 
 def parse_pairs(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -32,13 +40,10 @@ def parse_pairs(lines: DataFrame, value: str = "value") -> DataFrame:
     ``swapped``: whether the right side names the slots in the other order.
     Lines of another form are dropped.
     """
-    sides = F.split(F.regexp_replace(F.col(value), r"\r\z", ""), "\t")
     rest = [c for c in lines.columns if c != value]
-    out = lines.select(
-        *rest, trimmed(F.get(sides, F.lit(0))).alias("lhs"), trimmed(F.get(sides, F.lit(1))).alias("rhs")
-    )
-    out = out.where(F.col("lhs").rlike(TEMPLATE) & F.col("rhs").rlike(TEMPLATE))
-    out = out.withColumn("p", F.regexp_extract("lhs", TEMPLATE, 2)).withColumn("q", F.regexp_extract("rhs", TEMPLATE, 2))
+    sides = lines.where(F.col(value).rlike(PAIR_LINE)).select(*rest, F.split(F.col(value), "\t").alias("_sides"))
+    out = sides.select(*rest, trimmed(F.col("_sides")[0]).alias("lhs"), trimmed(F.col("_sides")[1]).alias("rhs"))
+    out = out.withColumn("p", _predicate(F.col("lhs"))).withColumn("q", _predicate(F.col("rhs")))
     for side, verb, prep in (("p", "p_verb", "p_prep"), ("q", "q_verb", "q_prep")):
         head = F.substring_index(side, " ", 1)
         tail = F.substr(F.col(side), F.length(head) + 2)

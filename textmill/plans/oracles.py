@@ -221,7 +221,7 @@ FROM tasks""",
     "document_scan": f"""WITH bodies AS (
   SELECT {URL.format('doc_id')} AS url, text FROM documents UNION ALL SELECT url, html FROM pages)
 SELECT url, length(text) AS n_chars, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes, md5(text) AS digest FROM bodies""",
-    "fetch_documents": f"""WITH {RESULTS}
+    "fetch_or_error": f"""WITH {RESULTS}
 SELECT job_id, line_no, method, url, length(text) AS n_chars, error FROM fetched""",
     "result_rows": f"WITH {RESULTS} SELECT * FROM results",
     "result_scan": f"WITH {RESULTS} SELECT * FROM results",

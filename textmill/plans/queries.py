@@ -12,10 +12,10 @@ from textmill import constants as K
 from textmill.functions import strings as S
 from textmill.functions.text import word_array
 from textmill.operators import annotate as A
-from textmill.operators import corpus, pairs, progress, results, sessions, summary, tagstats, tasks
+from textmill.operators import corpus, fetch, pairs, progress, results, sessions, summary, tagstats, tasks
 from textmill.operators.skew import spread
-from textmill.operators.fetch import fetch, fetch_or_error
 from textmill.plans import carriers as C
+from textmill.session import ship_package
 from textmill.sinks import tables as sinks
 from textmill.sources import documents, manifest, messages, tagged, wordlists
 from textmill.sources import results as result_source
@@ -40,6 +40,7 @@ def query(fn: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         return fn(spark, sf_dir)
 
     REGISTRY[fn.__name__] = run
@@ -109,12 +110,12 @@ def document_scan(spark, sf_dir):
 
 
 @query
-def fetch_documents(spark, sf_dir):
-    return fetch_or_error(C.tasks(spark, sf_dir), C.docs(spark, sf_dir))
+def fetch_or_error(spark, sf_dir):
+    return fetch.fetch_or_error(C.tasks(spark, sf_dir), C.docs(spark, sf_dir))
 
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return results.result_rows(fetch_or_error(C.tasks(spark, sf_dir), C.docs(spark, sf_dir)), BUCKET)
+    return results.result_rows(fetch.fetch_or_error(C.tasks(spark, sf_dir), C.docs(spark, sf_dir)), BUCKET)
 
 
 @query
@@ -226,7 +227,7 @@ def sentence_stats(spark, sf_dir):
 
 
 def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fetch(C.tasks(spark, sf_dir), C.docs(spark, sf_dir))
+    return fetch.fetch(C.tasks(spark, sf_dir), C.docs(spark, sf_dir))
 
 
 @query

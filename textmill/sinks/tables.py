@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.strings import file_stem
@@ -17,19 +17,29 @@ RESULT_NAMES = {
 }
 
 
+def _without_last_newline(name: str) -> Column:
+    # the text writer ends each row with one
+    return F.regexp_replace(name, r"\n\z", "")
+
+
 def write_annotated(annotated: DataFrame, path: str, layout: str = "table") -> None:
     """Write bodies as a Parquet table, or as one text object per task.
 
     Both are partitioned by job and method.  The key holds the line number, so
-    two tasks on one file never overwrite each other.  Prefer the table: an
-    object per task is a directory per task.
+    two tasks on one file never overwrite each other.  The table's rows are
+    rebalanced first, or every task would leave a small file in every job; big
+    jobs are cut into several files.  An object per task is a directory per
+    task, so prefer the table.
     """
     if layout == "table":
-        annotated.write.mode("overwrite").partitionBy("job_id", "method").parquet(path)
+        rows = annotated.hint("rebalance", "job_id", "method")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "job_id", "method"
+        ).parquet(path)
         return
     name = F.concat_ws("-", file_stem(F.col("url")), F.col("line_no").cast("string"))
-    rows = annotated.select("job_id", "method", name.alias("file"), "body")
-    rows.write.mode("overwrite").partitionBy("job_id", "method", "file").option("lineSep", "").text(path)
+    rows = annotated.select("job_id", "method", name.alias("file"), _without_last_newline("body").alias("body"))
+    rows.write.mode("overwrite").partitionBy("job_id", "method", "file").text(path)
 
 
 def write_results(results: DataFrame, path: str) -> None:
@@ -49,7 +59,8 @@ def write_summaries(parts: DataFrame, path: str) -> None:
     spark = parts.sparkSession
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = parts.repartitionByRange(count, "job_id", "part_no").sortWithinPartitions("job_id", "part_no")
-    rows.select("job_id", "html").write.mode("overwrite").partitionBy("job_id").option("lineSep", "").text(path)
+    rows = rows.select("job_id", _without_last_newline("html").alias("html"))
+    rows.write.mode("overwrite").partitionBy("job_id").text(path)
 
 
 def write_messages(messages: DataFrame, path: str, body: str = "body") -> None:

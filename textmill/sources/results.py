@@ -21,7 +21,9 @@ METADATA_SCHEMA = T.StructType(
 
 def _scan(spark: SparkSession, path: str, file_per_result: bool) -> DataFrame:
     schema = T.StructType([*METADATA_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
-    return spark.read.schema(schema).option("multiLine", file_per_result).json(path)
+    rows = spark.read.schema(schema).option("multiLine", file_per_result).json(path)
+    # always true; the reader refuses plans that need the corrupt text alone
+    return rows.where("length(coalesce(originalUrl, '')) >= 0")
 
 
 def read_results(spark: SparkSession, path: str, file_per_result: bool = False) -> DataFrame:

@@ -15,7 +15,6 @@ from textmill.operators import annotate as A
 from textmill.operators import corpus, fetch, pairs, progress, results, sessions, summary, tagstats, tasks
 from textmill.operators.skew import spread
 from textmill.plans import carriers as C
-from textmill.session import ship_package
 from textmill.sinks import tables as sinks
 from textmill.sources import documents, manifest, messages, tagged, wordlists
 from textmill.sources import results as result_source
@@ -40,7 +39,6 @@ def query(fn: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        ship_package(spark)
         return fn(spark, sf_dir)
 
     REGISTRY[fn.__name__] = run
@@ -256,20 +254,19 @@ def pos_tags(spark, sf_dir):
     return A.pos_tags(A.token_rows(docs, "doc_id"), lexicon, ["doc_id", "sent_idx", "pos"])
 
 
-def _blank_count():
-    """Words between blanks; refuses digits."""
-
-    def annotator(sentence: str) -> str:
-        if any(c in "0123456789" for c in sentence):
-            raise ValueError("digit in sentence")
-        return str(len(sentence.split(" ")))
+@query
+def annotate_custom(spark, sf_dir):
+    """Words between blanks by a Python annotator that refuses digits."""
 
-    return annotator
+    def loader():
+        def annotator(sentence: str) -> str:
+            if any(c in "0123456789" for c in sentence):
+                raise ValueError("digit in sentence")
+            return str(len(sentence.split(" ")))
 
+        return annotator
 
-@query
-def annotate_custom(spark, sf_dir):
-    A.register_annotator("BLANKS", _blank_count)
+    A.register_annotator("BLANKS", loader)
     rows = A.annotate_custom(A.sentence_rows(_documents(spark, sf_dir), "doc_id"), "BLANKS")
     return rows.select("doc_id", "sent_idx", "value", "error")
 

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -42,20 +38,3 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per application.
-
-    Not needed where it is installed on the cluster or sent with ``--py-files``.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.join(tempfile.mkdtemp(prefix="textmill-"), "textmill")
-    context.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
-    _shipped.add(context.applicationId)

@@ -29,26 +29,32 @@ def stream_dedup(completions: DataFrame, delay: str) -> DataFrame:
     return completions.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["msg_id"])
 
 
-class _FireOnce(StatefulProcessor):
-    """State per job: completions so far, and whether the job was announced."""
+def _fire_once() -> StatefulProcessor:
+    """State per job: completions so far, and whether the job was announced.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("done", T.LongType()), T.StructField("fired", T.BooleanType())])
-        self._state = handle.getValueState("progress", schema)
+    The class is made here so that it travels to the workers by value.
+    """
+
+    class FireOnce(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            schema = T.StructType([T.StructField("done", T.LongType()), T.StructField("fired", T.BooleanType())])
+            self._state = handle.getValueState("progress", schema)
+
+        def handleInputRows(self, key, rows, timerValues):
+            done, fired = tuple(self._state.get()) if self._state.exists() else (0, False)
+            total = None
+            for frame in rows:
+                done += int(frame["k"].sum())
+                total = int(frame["total"].iloc[0])
+            if not fired and total is not None and done >= total:
+                fired = True
+                yield pd.DataFrame({"job_id": [key[0]], "total": [total]})
+            self._state.update((done, fired))
 
-    def handleInputRows(self, key, rows, timerValues):
-        done, fired = tuple(self._state.get()) if self._state.exists() else (0, False)
-        total = None
-        for frame in rows:
-            done += int(frame["k"].sum())
-            total = int(frame["total"].iloc[0])
-        if not fired and total is not None and done >= total:
-            fired = True
-            yield pd.DataFrame({"job_id": [key[0]], "total": [total]})
-        self._state.update((done, fired))
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return FireOnce()
 
 
 def job_done_events(completions: DataFrame, jobs: DataFrame, delay: str) -> DataFrame:
@@ -71,7 +77,7 @@ def job_done_events(completions: DataFrame, jobs: DataFrame, delay: str) -> Data
     partial = once.mapInPandas(count_part, f"job_id {id_type}, k long")
     known = partial.join(jobs.select("job_id", "total"), "job_id")
     return known.groupBy("job_id").transformWithStateInPandas(
-        statefulProcessor=_FireOnce(),
+        statefulProcessor=_fire_once(),
         outputStructType=f"job_id {id_type}, total long",
         outputMode="Append",
         timeMode="None",

@@ -123,3 +123,39 @@ def test_responses_reach_their_owner(spark):
 def test_fan_out(spark, n, parts):
     tasks = spark.range(10).select(F.lit("j").alias("job_id"), F.col("id").alias("line_no"))
     assert fan_out(tasks, n).rdd.getNumPartitions() == parts
+
+
+def test_own_annotator_for_a_method(spark):
+    from textmill.operators.annotate import annotate_with, register_annotator
+
+    def loader():
+        import time
+
+        def run(sentence):
+            if "fail" in sentence:
+                raise ValueError("no parse")
+            if "sleep" in sentence:
+                time.sleep(0.5)
+            return "<" + sentence + ">"
+
+        return run
+
+    register_annotator("TEST", loader)
+    fetched = spark.createDataFrame(
+        [
+            ("j", 1, "DEPENDENCY", "u", "one. fail. two.", None),
+            ("j", 2, "DEPENDENCY", "u", "one. sleep.", None),
+            ("j", 3, "DEPENDENCY", "u", None, "Document not found"),
+            ("j", 4, "DEPENDENCY", "u", " ", None),
+            ("j", 5, "POS", "u", "Dogs.", None),
+        ],
+        "job_id string, line_no long, method string, url string, text string, error string",
+    )
+    rows = annotate_with(fetched, {"DEPENDENCY": "TEST"}, budget_s=0.3).orderBy("line_no").collect()
+    assert [(r.line_no, r.body, r.error) for r in rows] == [
+        (1, "<one.>\n[ERROR: no parse]\n<two.>\n", None),
+        (2, None, "Task Timed Out"),
+        (3, None, "Document not found"),
+        (4, "", None),
+        (5, "Dogs/NNP ./. \n", None),
+    ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import text as X
 from textmill.operators.skew import join_lookup
+from textmill.storage import materialize
 
 
 def term_frequency(docs: DataFrame) -> DataFrame:
@@ -93,11 +94,12 @@ def collocations(bigrams: DataFrame, k: int, min_count: int = 5) -> DataFrame:
     """The ``k`` strongest bigrams per language by log-likelihood ratio.
 
     ``bigrams`` is read four times: pass a stored or materialized table.  The
-    marginals are joined after the count filter, where little is left.
+    marginals are stored, then joined after the count filter, where little is
+    left.
     """
-    first = bigrams.groupBy("lang", "w1").agg(F.sum("n").alias("c1"))
-    second = bigrams.groupBy("lang", "w2").agg(F.sum("n").alias("c2"))
-    totals = bigrams.groupBy("lang").agg(F.sum("n").alias("total"))
+    first = materialize(bigrams.groupBy("lang", "w1").agg(F.sum("n").alias("c1")), "marginals")
+    second = materialize(bigrams.groupBy("lang", "w2").agg(F.sum("n").alias("c2")), "marginals")
+    totals = materialize(bigrams.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     kept = bigrams.where(F.col("n") >= min_count)
     ident = ["lang", "w1", "w2"]
     rows = join_lookup(kept, totals, ["lang"], ident)

@@ -54,10 +54,10 @@ def path_similarity(bigrams: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     filled = bigrams.select("lang", "n", sides)
     per_filler = filled.groupBy("lang", "slot", "f").agg(F.sum("n").alias("cf"))
-    totals = bigrams.groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = materialize(bigrams.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     ident = ["lang", "slot", "p", "f"]
     mine = materialize(join_lookup(filled, words, ["lang", "p"], ident, "left_semi"), "fillers")
-    per_path = mine.groupBy("lang", "slot", "p").agg(F.sum("n").alias("cp"))
+    per_path = materialize(mine.groupBy("lang", "slot", "p").agg(F.sum("n").alias("cp")), "marginals")
     rows = join_lookup(mine, totals, ["lang"], ident)
     rows = join_lookup(rows, per_path, ["lang", "slot", "p"], ident)
     # a filler meets each given word once, so no key is hot

@@ -131,18 +131,16 @@ def capacity_plan(
 
     change = need(F.col("done")) - need(F.col("done") - F.col("k"))
     per_bucket = rows.groupBy("bucket").agg(F.sum(change).alias("change"))
-    start = registry.agg(F.coalesce(F.sum(ceil_div(F.col("total"), F.col("n"))), F.lit(0)).alias("start"))
-    # one row per bucket of the calendar from here on; "start" is one row
-    timeline = Window.partitionBy("_all").orderBy("bucket")
+    # what all jobs need at first: a row before all buckets
+    start = registry.agg(F.sum(ceil_div(F.col("total"), F.col("n"))).alias("change"))
+    rows = per_bucket.unionByName(start.withColumn("bucket", F.lit(None).cast("timestamp")))
+    # one row per bucket of the calendar from here on
+    timeline = Window.orderBy(F.asc_nulls_first("bucket"))
     plan = (
-        per_bucket.withColumn("_all", F.lit(1))
-        .join(F.broadcast(start.withColumn("_all", F.lit(1))), "_all")
-        .withColumn(
-            "wanted",
-            F.col("start") + F.sum("change").over(timeline.rowsBetween(Window.unboundedPreceding, 0)),
-        )
+        rows.withColumn("wanted", F.sum("change").over(timeline.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("target", clamp_workers(F.col("wanted"), cap))
-        .withColumn("previous", F.coalesce(F.lag("target").over(timeline), F.lit(0)))
+        .withColumn("previous", F.when(F.lag("bucket").over(timeline).isNull(), 0).otherwise(F.lag("target").over(timeline)))
+        .where("bucket is not null")
     )
     action = F.when(F.col("target") > F.col("previous"), "up").when(F.col("target") < F.col("previous"), "down")
     return plan.select("bucket", "wanted", "target", action.otherwise("hold").alias("action"))

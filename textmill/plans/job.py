@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill import constants as K
-from textmill.operators.annotate import annotate, annotated_text
+from textmill.operators.annotate import annotate, annotate_with, annotated_text
 from textmill.operators.fetch import fetch
 from textmill.operators.results import result_rows
 from textmill.operators.summary import summary_parts, summary_stats
@@ -24,17 +24,27 @@ def run_job(
     n: int = 1,
     bucket: str = "text-results",
     max_tokens: int = K.MAX_SENTENCE_TOKENS,
+    annotators: dict[str, str] | None = None,
+    visibility_s: int | None = None,
 ) -> DataFrame:
     """Process all manifests below ``manifest_path`` against ``docs(url, text)``.
 
     Writes ``out/annotated``, ``out/results`` and ``out/summary`` and returns
     the summary totals.  ``n`` is the tasks per partition wished for.  A job
     whose manifest has no valid line gets a summary with total 0.
+    ``annotators`` names registered Python annotators for some methods;
+    ``visibility_s`` bounds the time of their sentences.
     """
     lines = read_manifest_lines(spark, manifest_path)
     tasks = materialize(fan_out(parse_manifest(lines), n), "tasks")
     # annotated once: result rows come from what was written, not from the text
-    done = materialize(annotate(fetch(tasks, docs), max_tokens), "annotated")
+    fetched = fetch(tasks, docs)
+    if annotators:
+        budget = max(K.MIN_BUDGET_S, visibility_s - K.VISIBILITY_MARGIN_S) if visibility_s else None
+        annotated = annotate_with(materialize(fetched, "fetched"), annotators, max_tokens, budget)
+    else:
+        annotated = annotate(fetched, max_tokens)
+    done = materialize(annotated, "annotated")
     write_annotated(annotated_text(done), f"{out}/annotated")
     write_results(result_rows(done, bucket), f"{out}/results")
     results = read_results(spark, f"{out}/results")

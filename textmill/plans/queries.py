@@ -225,7 +225,7 @@ def sentence_stats(spark, sf_dir):
 
 
 def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fetch.fetch(C.tasks(spark, sf_dir), C.docs(spark, sf_dir))
+    return fetch.fetch(C.tasks(spark, sf_dir), spread(C.docs(spark, sf_dir), "url"))
 
 
 @query

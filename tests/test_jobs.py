@@ -14,7 +14,7 @@ RESULTS = (
 
 def test_run_job(spark, tmp_path):
     lines = [f"{m}\thttp://h/{u}.txt" for u in ("one", "two", "gone") for m in ("POS", "CONSTITUENCY", "DEPENDENCY")]
-    for job, text in (("j1", "\r\n".join([*lines, "NER\thttp://h/one.txt", ""])), ("j2", "nothing valid\n")):
+    for job, text in (("j1", "\r\n".join([*lines, "NER\thttp://h/one.txt", ""])), ("j2", "nothing valid\n"), ("j3", "")):
         (tmp_path / "input" / job).mkdir(parents=True)
         (tmp_path / "input" / job / "input.txt").write_bytes(text.encode())
     docs = spark.createDataFrame(
@@ -31,6 +31,7 @@ def test_run_job(spark, tmp_path):
         job = path.parent.name.removeprefix("job_id=")
         html[job] = html.get(job, "") + path.read_text()
     assert "Total: 10 | Success: 6 | Errors: 4" in html["j1"] and "Total: 0 " in html["j2"]
+    assert html["j3"] == html["j2"]
     assert html["j1"].index("one.txt") < html["j1"].index("two.txt") < html["j1"].index("Document not found")
     assert html["j1"].startswith("<!DOCTYPE html>") and html["j1"].endswith("</body></html>\n")
     assert html["j1"].count("Invalid parsing method: NER") == 1

@@ -60,6 +60,13 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_line_numbers_go_on_over_the_files_of_a_job(spark, tmp_path):
+    put(tmp_path / "job_id=j" / "part-1.txt", "POS\thttp://h/3\n")
+    put(tmp_path / "job_id=j" / "part-0.txt", "POS\thttp://h/0\n\nPOS\thttp://h/2\n")
+    rows = read_manifest(spark, str(tmp_path)).collect()
+    assert sorted((r.job_id, r.line_no, r.url) for r in rows) == [("j", i, f"http://h/{i}") for i in (0, 2, 3)]
+
+
 def test_documents_keep_whole_text(spark, tmp_path):
     put(tmp_path / "d" / "x.txt", "Zeile eins.\r\nZwei: größer\n")
     row = read_documents(spark, str(tmp_path)).collect()[0]

@@ -24,12 +24,12 @@ def dedup_completions(completions: DataFrame) -> DataFrame:
 
 
 def orphan_completions(completions: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Completions whose job is not registered."""
+    """Completions (deduplicated) whose job is not registered."""
     return join_lookup(completions, jobs.select("job_id"), ["job_id"], ["msg_id"], "left_anti")
 
 
 def known_completions(completions: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Completions of registered jobs, with the job's ``total`` and ``n``."""
+    """Completions (deduplicated) of registered jobs, with ``total`` and ``n``."""
     registry = jobs.select("job_id", "total", ratio(F.col("n")).alias("n"))
     return join_lookup(completions, registry, ["job_id"], ["msg_id"])
 

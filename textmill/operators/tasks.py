@@ -71,7 +71,10 @@ def job_response_messages(done_jobs: DataFrame) -> DataFrame:
 
 
 def correlate_responses(responses: DataFrame, own_jobs: DataFrame) -> DataFrame:
-    """Responses of the right type, with payload, for the caller's own jobs."""
+    """Responses of the right type, with payload, for the caller's own jobs.
+
+    Copies of a response become one row.
+    """
     decoded = responses.select(
         "reply_to", envelope.decode(F.col("body"), envelope.RESPONSE_SCHEMA).alias("m")
     ).select(
@@ -80,7 +83,8 @@ def correlate_responses(responses: DataFrame, own_jobs: DataFrame) -> DataFrame:
         F.col("m.data.jobId").alias("job_id"),
         F.col("m.data.summaryS3Key").alias("summary_key"),
     )
-    wanted = decoded.where((F.col("type") == K.TYPE_JOB_DONE) & F.col("job_id").isNotNull()).drop("type")
+    wanted = decoded.where((F.col("type") == K.TYPE_JOB_DONE) & F.col("job_id").isNotNull())
+    wanted = wanted.drop("type").distinct()
     own = own_jobs.select(F.col("job_id").cast("string").alias("job_id"), reply_address(F.col("job_id")).alias("reply_to"))
     return wanted.join(own, ["job_id", "reply_to"], "left_semi").select("job_id", "reply_to", "summary_key")
 

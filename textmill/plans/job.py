@@ -11,7 +11,7 @@ from textmill.operators.results import result_rows
 from textmill.operators.summary import summary_parts, summary_stats
 from textmill.operators.tasks import fan_out
 from textmill.sinks.tables import write_annotated, write_results, write_summaries
-from textmill.sources.manifest import parse_manifest, read_manifest_lines
+from textmill.sources.manifest import read_manifest, read_manifest_jobs
 from textmill.sources.results import read_results
 from textmill.storage import materialize
 
@@ -35,8 +35,7 @@ def run_job(
     ``annotators`` names registered Python annotators for some methods;
     ``visibility_s`` bounds the time of their sentences.
     """
-    lines = read_manifest_lines(spark, manifest_path)
-    tasks = materialize(fan_out(parse_manifest(lines), n), "tasks")
+    tasks = materialize(fan_out(read_manifest(spark, manifest_path), n), "tasks")
     # annotated once: result rows come from what was written, not from the text
     fetched = fetch(tasks, docs)
     if annotators:
@@ -48,7 +47,7 @@ def run_job(
     write_annotated(annotated_text(done), f"{out}/annotated")
     write_results(result_rows(done, bucket), f"{out}/results")
     results = read_results(spark, f"{out}/results")
-    jobs = lines.select("job_id").distinct()
+    jobs = read_manifest_jobs(spark, manifest_path)
     results = results.join(jobs, "job_id", "left_semi")
     write_summaries(summary_parts(results, jobs), f"{out}/summary")
     return summary_stats(results)

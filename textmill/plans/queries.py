@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -463,10 +462,8 @@ def threshold_sweep(spark, sf_dir):
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = C.table(spark, sf_dir, "events").schema
-    path = f"{sf_dir}/events.parquet"
-    if os.path.isfile(path):  # a lone local file: watch its folder for that name
-        return messages.read_messages(spark, sf_dir, schema, glob="events.parquet")
-    return messages.read_messages(spark, path, schema)
+    # as a glob the path may be a folder or a lone file
+    return messages.read_messages(spark, f"{sf_dir}/events.parque[t]", schema)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.strings import trimmed
@@ -10,13 +10,24 @@ from textmill.operators.skew import fits_broadcast
 from textmill.storage import materialize
 
 
+def _folder(path: str) -> Column:
+    return F.regexp_replace(F.regexp_extract(path, "([^/]*)/[^/]*$", 1), "^job_id=", "")
+
+
+def read_manifest_jobs(spark: SparkSession, path: str) -> DataFrame:
+    """``job_id`` of all manifests below ``path``, empty files included."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(_folder("path").alias("job_id")).distinct()
+
+
 def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(job_id, line_no, line)`` of all files below ``path``.
 
     Files are split for reading like any text, so a manifest of any size scans
-    in parallel.  A line's number is the count of lines in the earlier splits of
-    its file plus its place in its own split.  The job is the folder that holds
-    the file (``input/<job>/input.txt`` or ``job_id=<job>/part-0.txt``).
+    in parallel.  A line's number is the count of lines in the job's earlier
+    splits plus its place in its own split; a job may have several files, which
+    count in the order of their names.  The job is the folder that holds the
+    file (``input/<job>/input.txt`` or ``job_id=<job>/part-0.txt``).
     """
     raw = materialize(
         spark.read.option("recursiveFileLookup", "true")
@@ -30,18 +41,18 @@ def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
         ),
         "manifest",
     )
-    earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("job_id").orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         raw.groupBy("_file", "_split")
         .agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+        .withColumn("job_id", _folder("_file"))
         .withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
         .drop("_lines")
     )
     if fits_broadcast(splits):
         splits = F.broadcast(splits)
-    folder = F.regexp_extract("_file", "([^/]*)/[^/]*$", 1)
     return raw.join(splits, ["_file", "_split"]).select(
-        F.regexp_replace(folder, "^job_id=", "").alias("job_id"),
+        "job_id",
         (F.col("_before") + F.col("_seq") - F.col("_first")).alias("line_no"),
         "line",
     )

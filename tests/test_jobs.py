@@ -21,7 +21,8 @@ def test_run_job(spark, tmp_path):
         [("http://h/one.txt", "The dog ran."), ("http://h/two.txt", "A cat. " * 3)], "url string, text string"
     )
     out = str(tmp_path / "out")
-    stats = run_job(spark, str(tmp_path / "input"), docs, out, n=3)
+    jobs = spark.createDataFrame([("j1",), ("j2",), ("j3",)], "job_id string")
+    stats = run_job(spark, str(tmp_path / "input"), docs, out, n=3, jobs=jobs)
     total = stats.where("level = 3").collect()[0]
     assert (total.total, total.successes, total.errors) == (10, 6, 4)
     body = spark.read.parquet(f"{out}/annotated").where("method = 'POS' and url = 'http://h/two.txt'").collect()

@@ -11,7 +11,7 @@ from textmill.operators.results import result_rows
 from textmill.operators.summary import summary_parts, summary_stats
 from textmill.operators.tasks import fan_out
 from textmill.sinks.tables import write_annotated, write_results, write_summaries
-from textmill.sources.manifest import read_manifest, read_manifest_jobs
+from textmill.sources.manifest import parse_manifest, read_manifest_lines
 from textmill.sources.results import read_results
 from textmill.storage import materialize
 
@@ -26,6 +26,7 @@ def run_job(
     max_tokens: int = K.MAX_SENTENCE_TOKENS,
     annotators: dict[str, str] | None = None,
     visibility_s: int | None = None,
+    jobs: DataFrame | None = None,
 ) -> DataFrame:
     """Process all manifests below ``manifest_path`` against ``docs(url, text)``.
 
@@ -33,21 +34,25 @@ def run_job(
     the summary totals.  ``n`` is the tasks per partition wished for.  A job
     whose manifest has no valid line gets a summary with total 0.
     ``annotators`` names registered Python annotators for some methods;
-    ``visibility_s`` bounds the time of their sentences.
+    ``visibility_s`` bounds the time of their sentences.  ``jobs(job_id)`` are
+    the jobs that get a summary; without it, those whose manifest has a line
+    (Spark does not see empty files).
     """
-    tasks = materialize(fan_out(read_manifest(spark, manifest_path), n), "tasks")
-    # annotated once: result rows come from what was written, not from the text
+    lines = read_manifest_lines(spark, manifest_path)
+    tasks = materialize(fan_out(parse_manifest(lines), n), "tasks")
     fetched = fetch(tasks, docs)
     if annotators:
+        # errors come up while annotating: store that, as both outputs need it
         budget = max(K.MIN_BUDGET_S, visibility_s - K.VISIBILITY_MARGIN_S) if visibility_s else None
         annotated = annotate_with(materialize(fetched, "fetched"), annotators, max_tokens, budget)
+        outcomes = annotated = materialize(annotated, "annotated")
     else:
-        annotated = annotate(fetched, max_tokens)
-    done = materialize(annotated, "annotated")
-    write_annotated(annotated_text(done), f"{out}/annotated")
-    write_results(result_rows(done, bucket), f"{out}/results")
+        # built-in annotators do not fail: outcomes need the URLs, not the text
+        annotated, outcomes = annotate(fetched, max_tokens), fetched
+    write_annotated(annotated_text(annotated), f"{out}/annotated")
+    write_results(result_rows(outcomes, bucket), f"{out}/results")
     results = read_results(spark, f"{out}/results")
-    jobs = read_manifest_jobs(spark, manifest_path)
+    jobs = (jobs if jobs is not None else lines).select("job_id").distinct()
     results = results.join(jobs, "job_id", "left_semi")
     write_summaries(summary_parts(results, jobs), f"{out}/summary")
     return summary_stats(results)

@@ -14,12 +14,6 @@ def _folder(path: str) -> Column:
     return F.regexp_replace(F.regexp_extract(path, "([^/]*)/[^/]*$", 1), "^job_id=", "")
 
 
-def read_manifest_jobs(spark: SparkSession, path: str) -> DataFrame:
-    """``job_id`` of all manifests below ``path``, empty files included."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(_folder("path").alias("job_id")).distinct()
-
-
 def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(job_id, line_no, line)`` of all files below ``path``.
 

@@ -161,3 +161,13 @@ def test_own_annotator_for_a_method(spark):
         (4, "", None),
         (5, "Dogs/NNP ./. \n", None),
     ]
+
+
+def test_empty_completion_messages_are_dropped(spark):
+    from textmill.operators.tasks import decode_completions, task_result_messages
+
+    results = spark.createDataFrame([("j", 1, True), ("j", 2, False)], "job_id string, line_no long, success boolean")
+    sent = task_result_messages(results).select(F.col("line_no").alias("msg_id"), "body")
+    odd = spark.createDataFrame([(3, '{"type":"x","data":null}'), (4, "{"), (5, '{"data":{"jobId":"j"}}')], sent.schema)
+    rows = decode_completions(sent.unionByName(odd)).orderBy("msg_id").collect()
+    assert [tuple(r) for r in rows] == [(1, "j", True), (2, "j", False), (5, "j", False)]

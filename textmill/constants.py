@@ -19,6 +19,7 @@ ERR_NO_DOCUMENT = "Document not found"  # our own wording
 # Key and link formats.
 RESULTS_PREFIX = "workers-results"
 REPLY_PREFIX = "local-app-output-"
+INPUT_KEY = "input/%s/input.txt"
 SUMMARY_KEY = "output/%s_summary.html"
 CONSOLE_LINK = "https://s3.console.aws.amazon.com/s3/object/"
 UNKNOWN = "unknown"

@@ -13,24 +13,6 @@ def _envelope(data: T.StructType) -> T.StructType:
     return T.StructType([T.StructField("type", T.StringType()), T.StructField("data", data)])
 
 
-TASK_SCHEMA = _envelope(
-    T.StructType(
-        [
-            T.StructField("parsingMethod", T.StringType()),
-            T.StructField("url", T.StringType()),
-            T.StructField("jobId", T.StringType()),
-        ]
-    )
-)
-JOB_SCHEMA = _envelope(
-    T.StructType(
-        [
-            T.StructField("inputFileS3Key", T.StringType()),
-            T.StructField("n", T.IntegerType()),
-            T.StructField("jobId", T.StringType()),
-        ]
-    )
-)
 TASK_RESULT_SCHEMA = _envelope(
     T.StructType([T.StructField("success", T.BooleanType()), T.StructField("jobId", T.StringType())])
 )
@@ -61,6 +43,14 @@ def encode_task(method: Column, url: Column, job_id: Column) -> Column:
     return encode(K.TYPE_TASK, parsingMethod=method, url=url, jobId=job_id.cast("string"))
 
 
+def encode_job(input_key: Column, n: Column, job_id: Column) -> Column:
+    return encode(K.TYPE_NEW_JOB, inputFileS3Key=input_key, n=n.cast("int"), jobId=job_id.cast("string"))
+
+
+def encode_task_result(success: Column, job_id: Column) -> Column:
+    return encode(K.TYPE_TASK_RESULT, success=success, jobId=job_id.cast("string"))
+
+
 def encode_response(job_id: Column, summary_key: Column) -> Column:
     return encode(K.TYPE_JOB_DONE, jobId=job_id.cast("string"), summaryS3Key=summary_key)
 

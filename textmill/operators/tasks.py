@@ -54,10 +54,36 @@ def route_messages(messages: DataFrame) -> DataFrame:
         F.when(task, F.coalesce("jobId", unknown)).when(job, F.col("jobId")).alias("job_id"),
         F.when(task, F.coalesce("parsingMethod", unknown)).alias("method"),
         F.when(task, F.coalesce("url", unknown)).alias("url"),
+        F.when(job, F.col("inputFileS3Key")).alias("input_key"),
         F.when(job, ratio(F.coalesce("n", F.lit(0)))).alias("n"),
     )
 
 
+def job_request_messages(jobs: DataFrame) -> DataFrame:
+    """One request per job ``(job_id, n)``; a ratio below 1 is no request."""
+    key = F.format_string(K.INPUT_KEY, F.col("job_id").cast("string"))
+    body = envelope.encode_job(key, F.col("n"), F.col("job_id"))
+    return jobs.where("n > 0").select("job_id", body.alias("body"))
+
+
+def task_result_messages(results: DataFrame) -> DataFrame:
+    """One completion message per result row; success and error alike."""
+    body = envelope.encode_task_result(F.col("success"), F.col("job_id"))
+    return results.select("job_id", "line_no", body.alias("body"))
+
+
+def decode_completions(messages: DataFrame) -> DataFrame:
+    """Completions from ``(msg_id, body, ...)``; messages without payload are dropped.
+
+    Other columns are kept, so it serves a stream as well.
+    """
+    rest = [c for c in messages.columns if c != "body"]
+    decoded = messages.select(*rest, envelope.decode(F.col("body"), envelope.TASK_RESULT_SCHEMA).alias("_m"))
+    return decoded.where("_m.data is not null").select(
+        *rest, F.col("_m.data.jobId").alias("job_id"), F.coalesce("_m.data.success", F.lit(False)).alias("success")
+    )
+
+
 def reply_address(job_id):
     return F.concat(F.lit(K.REPLY_PREFIX), job_id.cast("string"))
 

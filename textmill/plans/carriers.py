@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions.envelope import encode_task_result
 from textmill.functions.text import pairs_of, word_array
 from textmill.operators.skew import spread
 from textmill.sources.manifest import parse_manifest
@@ -126,6 +127,17 @@ def as_messages(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").alias("msg_id"), body.alias("body"))
 
 
+def as_result_messages(events: DataFrame) -> DataFrame:
+    """``(msg_id, body)``: a completion message per event, some broken or empty."""
+    body = encode_task_result(F.col("event_type") != "error", F.col("user_id"))
+    body = (
+        F.when(F.col("event_id") % 10 == 0, '{"type":"urlParseResponse","data":null}')
+        .when(F.col("event_type") == "signup", '{"type":"urlParseResponse",')
+        .otherwise(body)
+    )
+    return events.select(F.col("event_id").alias("msg_id"), body.alias("body"))
+
+
 def template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Template-pair lines ``(doc_id, place, value)`` made of neighbouring words."""
     words = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", word_array(F.col("text")).alias("ws"))

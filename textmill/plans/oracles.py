@@ -144,6 +144,7 @@ routed AS (
     CASE WHEN event_type = 'view' THEN CASE WHEN empty THEN 'unknown' ELSE method END END AS method,
     CASE WHEN event_type = 'view' THEN CASE WHEN empty THEN 'unknown'
       ELSE 'https://corpus.example.org/e/' || event_id END END AS url,
+    CASE WHEN event_type = 'click' AND NOT empty THEN 'input/' || user_id || '/input.txt' END AS input_key,
     CASE WHEN event_type = 'click' AND NOT empty
       THEN CASE WHEN event_id % 4 > 0 THEN event_id % 4 ELSE 1 END END AS n
   FROM raw)"""
@@ -217,6 +218,15 @@ SELECT job_id, line_no, method, method IN ('POS', 'CONSTITUENCY', 'DEPENDENCY')
   CASE WHEN method NOT IN ('POS', 'CONSTITUENCY', 'DEPENDENCY') THEN 'Invalid parsing method: ' || method END AS error
 FROM tasks""",
     "route_messages": f"WITH {MESSAGES} SELECT * FROM routed",
+    "job_requests": """WITH j AS (
+  SELECT DISTINCT source AS job_id, CAST(substr(source, 4) AS INTEGER) % 4 AS n FROM documents)
+SELECT job_id, '{"type":"newTask","data":{"inputFileS3Key":"input/' || job_id || '/input.txt","n":' || n
+  || ',"jobId":"' || job_id || '"}}' AS body FROM j WHERE n > 0""",
+    "task_result_messages": f"""WITH {RESULTS}
+SELECT job_id, line_no, '{{"type":"urlParseResponse","data":{{"success":' || success || ',"jobId":"' || job_id || '"}}}}'
+  AS body FROM results""",
+    "decode_completions": """SELECT event_id AS msg_id, CAST(user_id AS VARCHAR) AS job_id, event_type <> 'error' AS success
+FROM events WHERE event_id % 10 <> 0 AND event_type <> 'signup'""",
     "job_sizes": f"WITH {MANIFEST} SELECT job_id, count(*) AS total FROM tasks GROUP BY job_id",
     "document_scan": f"""WITH bodies AS (
   SELECT {URL.format('doc_id')} AS url, text FROM documents UNION ALL SELECT url, html FROM pages)

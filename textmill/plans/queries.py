@@ -91,6 +91,22 @@ def route_messages(spark, sf_dir):
     return tasks.route_messages(C.as_messages(C.table(spark, sf_dir, "events")))
 
 
+@query
+def job_requests(spark, sf_dir):
+    return tasks.job_request_messages(C.jobs(spark, sf_dir))
+
+
+@query
+def task_result_messages(spark, sf_dir):
+    return tasks.task_result_messages(_results(spark, sf_dir))
+
+
+@query
+def decode_completions(spark, sf_dir):
+    """Result messages of events; every tenth is empty, those of sign-ups are broken."""
+    return tasks.decode_completions(C.as_result_messages(C.table(spark, sf_dir, "events")))
+
+
 @query
 def job_sizes(spark, sf_dir):
     return tasks.job_sizes(C.tasks(spark, sf_dir))

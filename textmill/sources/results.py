@@ -39,7 +39,7 @@ def read_results(spark: SparkSession, path: str, file_per_result: bool = False)
         F.col("originalUrl").alias("original_url"),
         F.col("parsingMethod").alias("parsing_method"),
         F.col("outputS3Url").alias("output_url"),
-        F.col("success"),
+        F.coalesce("success", F.lit(False)).alias("success"),
         F.col("errorMessage").alias("error_message"),
     )
 

@@ -78,3 +78,29 @@ def test_control_lane_is_written_first(spark, tmp_path):
     control = max(p.stat().st_mtime for p in (tmp_path / "out" / "lane=control").rglob("_SUCCESS"))
     work = min(p.stat().st_mtime for p in (tmp_path / "out" / "lane=work").rglob("_SUCCESS"))
     assert control <= work
+
+
+def test_message_stream_to_text(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    bodies = C.as_result_messages(spark.read.parquet("/root/testdata/sf0.001/events.parquet")).select("body")
+    bodies.write.parquet(source)
+    messages = read_messages(spark, source, bodies.schema)
+    sink.start_append(messages, out, str(tmp_path / "cp"), fmt="text").awaitTermination()
+    got = spark.read.text(out).withColumnRenamed("value", "body")
+    assert got.exceptAll(bodies).count() == 0 and got.count() == bodies.count()
+
+
+def test_sessions_close_behind_the_watermark(spark, tmp_path):
+    from textmill.operators.sessions import idle_sessions
+    from textmill.streaming.sessions import stream_sessions
+
+    source, table, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    rows = [("a", m) for m in (0, 10, 50, 200)] + [("b", m) for m in (5, 34, 64, 300)]
+    df = spark.createDataFrame([(k, T0 + dt.timedelta(minutes=m)) for k, m in rows], "k string, ts timestamp")
+    df.write.parquet(source)
+    stream = read_messages(spark, source, df.schema)
+    sink.start_append(stream_sessions(stream, "k", "1 hour"), table, checkpoint).awaitTermination()
+    got = {(r.k, r.session_start, r.last_event, r.n_events) for r in spark.read.parquet(table).collect()}
+    limit = T0 + dt.timedelta(minutes=300 - 60 - 30)
+    want = {(r.k, r.session_start, r.last_event, r.n_events) for r in idle_sessions(df, "k").collect() if r.last_event <= limit}
+    assert got == want and len(got) == 5

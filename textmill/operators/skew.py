@@ -30,9 +30,14 @@ def spread(scan: DataFrame, *key: str) -> DataFrame:
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Measure ``df`` (one distributed aggregate) against the broadcast bounds."""
+    """Measure ``df`` (one distributed aggregate) against the broadcast bounds.
+
+    Nested columns have no simple width: a table with one never fits.
+    """
     width = F.lit(8 * len(df.columns)).cast("bigint")
     for field in df.schema.fields:
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)):
+            return False
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0)).cast("bigint")
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()

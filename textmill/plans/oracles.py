@@ -492,7 +492,7 @@ FROM c""",
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM steps)
 SELECT user_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS n_events
 FROM numbered GROUP BY user_id, s
-HAVING max(ts) + INTERVAL 30 MINUTE <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR""",
+HAVING max(ts) + INTERVAL 30 MINUTE - INTERVAL 1 MICROSECOND <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR""",
     "stream_route": f"""WITH {MESSAGES}
 SELECT *, CASE WHEN route = 'control' THEN 'control' ELSE 'work' END AS lane FROM routed""",
     "stream_needed_workers": f"""WITH {COMPLETIONS},

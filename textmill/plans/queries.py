@@ -533,5 +533,4 @@ def stream_needed_workers(spark, sf_dir):
     step = live.workers_step(_registry(spark, sf_dir))
     sink.start_batches(counts, table, checkpoint, "complete", step).awaitTermination()
     # one row per batch: the last one is the state of things
-    latest = spark.read.parquet(table).orderBy(F.desc("batch")).limit(1)
-    return latest.select("pending", "wanted", "target")
+    return spark.read.parquet(table).agg(*[F.max_by(c, "batch").alias(c) for c in ("pending", "wanted", "target")])

@@ -12,8 +12,13 @@ LOCAL_MERGE = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partit
 
 
 def stream_sessions(events: DataFrame, key: str, delay: str, gap_minutes: int = K.IDLE_MINUTES) -> DataFrame:
-    """Closed sessions ``(key, session_start, last_event, n_events)``."""
-    window = F.session_window("ts", f"{gap_minutes} minutes").alias("w")
+    """Closed sessions ``(key, session_start, last_event, n_events)``.
+
+    A silence of exactly the gap starts a new session, as in ``idle_sessions``.
+    Spark would still join there, so its gap is a microsecond shorter.
+    """
+    gap = f"{gap_minutes * 60 - 1} seconds 999999 microseconds"
+    window = F.session_window("ts", gap).alias("w")
     rows = (
         events.withWatermark("ts", delay)
         .groupBy(key, window)

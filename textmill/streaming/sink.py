@@ -30,12 +30,15 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
                 spark.conf.set(key, value)
 
 
-def start_append(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Append finished rows to a Parquet table, exactly once; then stop."""
+def start_append(stream: DataFrame, table: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+    """Append finished rows to a file table, exactly once; stop when all is read.
+
+    With ``fmt`` "text" a stream of message bodies becomes one message a line.
+    """
     spark = stream.sparkSession
     with session_conf(spark, {PROVIDER: ROCKSDB}):
         return (
-            stream.writeStream.format("parquet")
+            stream.writeStream.format(fmt)
             .outputMode("append")
             .option("path", table)
             .option("checkpointLocation", checkpoint)

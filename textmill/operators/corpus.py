@@ -13,25 +13,20 @@ from textmill.storage import materialize
 def term_frequency(docs: DataFrame) -> DataFrame:
     """Occurrences and documents per word: ``(lang, w, tf, df)``.
 
-    A document's distinct words come from its own row, so the document count is
-    a plain sum: one shuffle of words counted beforehand, no distinct by
-    document.
+    A document's words are sorted in its own row, where the first of equal words
+    is marked: documents are the sum of the marks.  One shuffle of words counted
+    beforehand, no distinct by document.
     """
-    words = X.word_array(F.col("text"))
-    marks = docs.select("lang", words.alias("_words")).select(
-        "lang",
-        F.explode(
-            F.concat(
-                F.transform("_words", lambda w: F.struct(w.alias("w"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-                F.transform(
-                    F.array_distinct("_words"),
-                    lambda w: F.struct(w.alias("w"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-                ),
-            )
-        ).alias("m"),
+    sorted_words = docs.select("lang", F.sort_array(X.word_array(F.col("text"))).alias("_words"))
+    marks = F.transform(
+        "_words",
+        lambda w, i: F.struct(
+            w.alias("w"), F.when((i == 0) | (F.get("_words", i - 1) != w), 1).otherwise(0).alias("first")
+        ),
     )
-    return marks.groupBy("lang", F.col("m.w").alias("w")).agg(
-        F.sum("m.tf").alias("tf"), F.sum("m.df").alias("df")
+    rows = sorted_words.select("lang", F.explode(marks).alias("m"))
+    return rows.groupBy("lang", F.col("m.w").alias("w")).agg(
+        F.count(F.lit(1)).alias("tf"), F.sum("m.first").alias("df")
     )
 
 

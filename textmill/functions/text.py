@@ -91,10 +91,6 @@ def skip_marker(size: Column) -> Column:
     return F.concat(F.lit("[SKIPPED LONG SENTENCE: "), size.cast("string"), F.lit(" words]"))
 
 
-def error_marker(message: Column) -> Column:
-    return F.concat(F.lit("[ERROR: "), message, F.lit("]"))
-
-
 def shallow_tree(tagged: Column) -> Column:
     """Flat bracketed tree over the tags: ``(ROOT (S (DT the) (NN dog)))``."""
     leaves = F.transform(

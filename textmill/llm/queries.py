@@ -4,24 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textmill.llm import oracles
+from textmill.llm.bpe import encode_decode
 from textmill.llm.common import documents
 from textmill.llm.exact import exact_dedup
 from textmill.llm.mixing import mix_sources
+from textmill.llm.simhash import near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
+BPE_VOCABULARY = "word_bpe_49k.json"
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens`` and digests of the ids and of the decoded text."""
+    encoded = encode_decode(docs, public_tokenizers.path(BPE_VOCABULARY))
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir))
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op2_exact_dedup, op7_source_mixing)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op2_exact_dedup, op5_bpe_encoding, op6_simhash_near_dedup, op7_source_mixing)}
 
 ORACLES: dict[str, str] = {"op2_exact_dedup": oracles.EXACT, "op7_source_mixing": oracles.MIX}

@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from textmill.llm.common import row_slices
+from textmill.llm.common import row_slices, share, shared
 
 #: Words a worker remembers before it starts afresh.
 REMEMBER = 1_000_000
@@ -171,7 +171,7 @@ def encode_texts(texts: list[str], v: Vocabulary) -> tuple[list[bytes], list[str
     if len(v.ids) > REMEMBER:
         v.ids, v.shown = {}, {}
     split = [pieces(t, v) for t in texts]
-    fresh = set().union(*split) - v.ids.keys()
+    fresh = {w for w in set().union(*split) if w not in v.ids}
     words = [w for w in fresh if isinstance(w, str)]
     if words:
         flat, bounds = encode_words([w.encode() for w in words], v)
@@ -195,10 +195,10 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     ``decoded`` (the tokens' own strings, joined by blanks).  A null or empty text
     has no tokens and decodes to the empty text; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    box = share(docs.sparkSession, read_vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
+        vocabulary = shared(box)
         for batch in batches:
             for a, b in row_slices(batch.column(1), _SLICE):
                 part = batch.slice(a, b - a)
@@ -222,10 +222,10 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, text`` from ``doc_id, ids``: the strings of the tokens, joined by blanks (null: empty)."""
-    shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(path).tokens)
+    box = share(encoded.sparkSession, read_vocabulary(path).tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value
+        tokens = shared(box)
         for batch in batches:
             texts = [
                 " ".join([tokens[i] for i in np.frombuffer(x or b"", "<u4").tolist()])

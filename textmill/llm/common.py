@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def share(spark: SparkSession, model) -> Broadcast:
+    """Broadcast a fitted model or vocabulary of bounded size; ``shared`` opens it in a task.
+
+    It is pickled by value, as the classes of this package may not be installed there.
+    """
+    return spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(model)})
+
+
+def shared(box: Broadcast):
+    """The model of ``share``, opened once per worker process."""
+    held = box.value
+    if "model" not in held:
+        held["model"] = cloudpickle.loads(held["pickled"])
+    return held["model"]
+
+
 def lower_ascii(column):
     """Lower-case A-Z only; null counts as empty."""
     return F.translate(F.coalesce(column, F.lit("")), UPPER, LOWER)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from textmill.llm import oracles
 from textmill.llm.bpe import encode_decode
-from textmill.llm.common import documents
+from textmill.llm.common import documents, table
 from textmill.llm.exact import exact_dedup
 from textmill.llm.mixing import mix_sources
+from textmill.llm.quality import quality_scores
 from textmill.llm.simhash import near_dedup
+from textmill.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 BPE_VOCABULARY = "word_bpe_49k.json"
@@ -31,6 +33,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op3_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
@@ -43,6 +53,6 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op2_exact_dedup, op5_bpe_encoding, op6_simhash_near_dedup, op7_source_mixing)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op2_exact_dedup, op3_quality_ranking, op4_toxicity, op5_bpe_encoding, op6_simhash_near_dedup, op7_source_mixing)}
 
 ORACLES: dict[str, str] = {"op2_exact_dedup": oracles.EXACT, "op7_source_mixing": oracles.MIX}

@@ -4,8 +4,8 @@ Two zstandard dictionaries: one is trained on ordinary text; the other holds
 the windows that mark toxic text, in front of the same trained background, so
 that ordinary words cost both the same.  A window's cost under a dictionary is its compressed length with a fixed
 carrier behind it, for alone it would be too short to be compressed at all.
-Windows that the toxic dictionary shortens by at least the calibrated number of
-bytes are hits, and a document with at least the calibrated number of hits is toxic.
+Windows whose cost the toxic dictionary lowers by at least the calibrated share
+are hits, and a document with at least the calibrated number of hits is toxic.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ FOLDS, HELD_FOLD = 3, 1
 MOST_LABELLED = 3_000
 DICTIONARY_BYTES = 16_384
 CARRIER_BYTES = 64
-#: A marking window has this many different left neighbours in toxic texts, and its share
-#: of toxic texts is this many times its share of ordinary ones.
-CONTEXTS, RATIO = 8, 10
+#: A window marks toxic text if it is this many times as frequent there as in ordinary text,
+#: and so often that chance would give it with odds of less than e^-ODDS among all windows.
+RATIO, ODDS = 20, 4
 LEVEL = 12
 ACCEPT = 0.7
 #: Distinct windows a task remembers before it starts afresh.
@@ -49,9 +49,9 @@ class Distance:
 
     ordinary: bytes
     toxic: bytes
-    gain: int = 1
+    gain: float = 1.0
     hits: int = 1
-    seen: dict[bytes, int] = field(default_factory=dict)
+    seen: dict[bytes, float] = field(default_factory=dict)
     pair: tuple | None = None
 
     def __getstate__(self):
@@ -60,25 +60,27 @@ class Distance:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def shorter(self, parts: list[bytes]) -> np.ndarray:
-        """Per window: the bytes by which the toxic dictionary shortens it."""
+    def gains(self, parts: list[bytes]) -> np.ndarray:
+        """Per window: the share of its cost that the toxic dictionary saves."""
+        carrier = b" " + self.ordinary[-CARRIER_BYTES:]
         if self.pair is None:
-            self.pair = (_compressor(self.ordinary), _compressor(self.toxic))
+            self.pair = [(c, len(c.compress(carrier))) for c in map(_compressor, (self.ordinary, self.toxic))]
         if len(self.seen) > REMEMBER:
             self.seen = {}
-        seen, (plain, toxic), carrier = self.seen, self.pair, b" " + self.ordinary[-CARRIER_BYTES:]
+        seen, ((plain, a), (toxic, b)) = self.seen, self.pair
         for w in parts:
             if w not in seen:
                 text = b" " + w + carrier
-                seen[w] = len(plain.compress(text)) - len(toxic.compress(text))
-        return np.fromiter(map(seen.__getitem__, parts), np.int64, len(parts))
+                cost = len(plain.compress(text)) - a
+                seen[w] = (cost - len(toxic.compress(text)) + b) / max(cost, 1)
+        return np.fromiter(map(seen.__getitem__, parts), np.float64, len(parts))
 
     def score(self, text: str | None) -> float:
         """From 0 to 1; 0.7 where the hits are just enough.  Windows below the
         threshold count less than one hit together."""
-        gains = self.shorter(windows(text))
+        gains = self.gains(windows(text))
         hit = gains >= self.gain
-        rest = max(0, int(gains[~hit].max(initial=0))) / (self.gain + 1)
+        rest = min(max(0.0, gains[~hit].max(initial=0.0)), 0.9)
         return 1 - math.exp(math.log(1 - ACCEPT) * (int(hit.sum()) + rest) / self.hits)
 
 
@@ -112,6 +114,8 @@ def fit_distance(texts: list[str | None], label: np.ndarray) -> Distance:
     toxic = [w for w, y in zip(split, label) if y == 1]
     plain = [w for w, y in zip(split, label) if y == 0]
     background = _trained(plain)
+    if not toxic or not plain:
+        return Distance(background, background)
     found, beside, ordinary = Counter(), defaultdict(set), Counter()
     for doc in toxic:
         found.update(set(doc))
@@ -119,24 +123,23 @@ def fit_distance(texts: list[str | None], label: np.ndarray) -> Distance:
             beside[w].add(before)
     for doc in plain:
         ordinary.update(set(doc))
-    marks = [
-        w
-        for w, n in found.items()
-        if len(beside[w]) >= min(CONTEXTS, len(toxic)) and n * len(plain) > RATIO * ordinary[w] * len(toxic)
-    ]
-    if not marks or not plain:
+    least = (math.log(len(found) + 1) + ODDS) / math.log(1 + len(plain) / len(toxic))
+    # copies of a text repeat its neighbours, so they do not count twice
+    often = {w: min(n, len(beside[w])) for w, n in found.items()}
+    marks = [w for w, n in often.items() if n >= least and n * len(plain) > RATIO * ordinary[w] * len(toxic)]
+    if not marks:
         return Distance(background, background)
     content = b" " + b" ".join(sorted(marks, key=lambda w: (found[w], w))) + b" "
     model = Distance(background, content + background)
-    gains = [model.shorter(w) for w in split]
+    gains = [model.gains(w) for w in split]
     best = None
-    for gain in range(1, 13):
+    for gain in np.arange(0.15, 0.9, 0.05):
         counts = np.array([(g >= gain).sum() for g in gains])
-        for hits in range(1, 6):
+        for hits in range(1, 5):
             says = counts >= hits
-            wrong = (says[label == 0].mean() + (~says[label == 1]).mean(), hits, gain)
+            wrong = says[label == 0].mean() + (~says[label == 1]).mean()
             best = min(best or (wrong, gain, hits), (wrong, gain, hits))
-    return Distance(model.ordinary, model.toxic, best[1], best[2])
+    return Distance(model.ordinary, model.toxic, float(best[1]), best[2])
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Distance:

@@ -39,12 +39,12 @@ def gram_hashes(values: np.ndarray, size: int) -> np.ndarray:
     n = max(0, len(values) - size + 1)
     out = np.zeros(n, np.uint64)
     have, block, weight = 0, values.astype(np.uint64) + np.uint64(1), _BASE
-    width, factor = 1, np.uint64(1)
+    width, factor = 1, 1
     # Horner's rule over blocks whose width doubles
     while size >> (width.bit_length() - 1):
         if size & width:
-            out = out + block[have : have + n] * factor
-            factor = factor * np.uint64(weight)
+            out = out + block[have : have + n] * np.uint64(factor)
+            factor = factor * weight % (1 << 64)
             have += width
         if width * 2 > size:
             break

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import oracles
+from textmill.llm import oracles, substring, suffix
 from textmill.llm.bpe import encode_decode
 from textmill.llm.common import documents, table
 from textmill.llm.exact import exact_dedup
@@ -29,6 +29,14 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(documents(spark, sf_dir), substring.DIGEST)
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.suffix_dedup(documents(spark, sf_dir), suffix.DIGEST)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -53,6 +61,6 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op2_exact_dedup, op3_quality_ranking, op4_toxicity, op5_bpe_encoding, op6_simhash_near_dedup, op7_source_mixing)}
+REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup, op10_suffix_dedup, op2_exact_dedup, op3_quality_ranking, op4_toxicity, op5_bpe_encoding, op6_simhash_near_dedup, op7_source_mixing)}
 
 ORACLES: dict[str, str] = {"op2_exact_dedup": oracles.EXACT, "op7_source_mixing": oracles.MIX}

@@ -42,3 +42,25 @@ SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN CASE W
   ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * q) - (1 - slope)) / (2 * slope) END END AS position
 FROM k
 """
+
+BACKOFF = f"""
+WITH d AS (SELECT doc_id, {WORDS.format('text')} AS w FROM documents),
+t AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, w, len(w) AS n FROM d),
+g AS (SELECT doc_id, i, n, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] END AS p FROM t),
+u1 AS (SELECT doc_id, a, count(*) AS own FROM g GROUP BY doc_id, a),
+u AS (SELECT doc_id, a, sum(own) OVER (PARTITION BY a) - own AS c FROM u1),
+b1 AS (SELECT doc_id, p, a, count(*) AS own FROM g WHERE p IS NOT NULL GROUP BY doc_id, p, a),
+b AS (SELECT doc_id, p, a, sum(own) OVER (PARTITION BY p, a) - own AS c FROM b1),
+s AS (
+  SELECT g.doc_id, CASE
+    WHEN b.c > 0 THEN log10(b.c / v.c)
+    ELSE (CASE WHEN i > 1 THEN log10(0.4::DOUBLE) ELSE 0 END)
+      + CASE WHEN u.c > 0 THEN log10(u.c / (all_words - n)) ELSE -log10(all_words - n + 1.0::DOUBLE) END END AS x
+  FROM g JOIN u ON u.doc_id = g.doc_id AND u.a = g.a
+  LEFT JOIN b ON b.doc_id = g.doc_id AND b.p = g.p AND b.a = g.a
+  LEFT JOIN u v ON v.doc_id = g.doc_id AND v.a = g.p, (SELECT count(*) AS all_words FROM g)),
+x AS (SELECT doc_id, sum(x) AS x FROM s GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(x, 0), 4) AS log_score,
+  CASE WHEN len(w) > 0 THEN round(coalesce(x, 0) / len(w), 4) END AS mean_log_score
+FROM d LEFT JOIN x USING (doc_id)
+"""

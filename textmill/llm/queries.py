@@ -12,9 +12,11 @@ from textmill.llm import oracles, substring, suffix
 from textmill.llm.bpe import encode_decode
 from textmill.llm.common import documents, table
 from textmill.llm.exact import exact_dedup
+from textmill.llm.lm import backoff_scores
 from textmill.llm.mixing import mix_sources
 from textmill.llm.quality import quality_scores
 from textmill.llm.simhash import near_dedup
+from textmill.llm.syncmers import fingerprint_documents
 from textmill.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,33 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
-REGISTRY: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup, op10_suffix_dedup, op2_exact_dedup, op3_quality_ranking, op4_toxicity, op5_bpe_encoding, op6_simhash_near_dedup, op7_source_mixing)}
+def op8_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff_scores(documents(spark, sf_dir))
+    return scored.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": oracles.EXACT, "op7_source_mixing": oracles.MIX}
+
+def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
+REGISTRY: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_exact_dedup,
+        op3_quality_ranking,
+        op4_toxicity,
+        op5_bpe_encoding,
+        op6_simhash_near_dedup,
+        op7_source_mixing,
+        op8_backoff_scores,
+        op9_syncmer_fingerprints,
+        op10_suffix_dedup,
+    )
+}
+
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": oracles.EXACT,
+    "op7_source_mixing": oracles.MIX,
+    "op8_backoff_scores": oracles.BACKOFF,
+}

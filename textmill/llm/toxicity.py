@@ -132,14 +132,16 @@ def fit_distance(texts: list[str | None], label: np.ndarray) -> Distance:
     content = b" " + b" ".join(sorted(marks, key=lambda w: (found[w], w))) + b" "
     model = Distance(background, content + background)
     gains = [model.gains(w) for w in split]
-    best = None
+    tried = []
     for gain in np.arange(0.15, 0.9, 0.05):
         counts = np.array([(g >= gain).sum() for g in gains])
         for hits in range(1, 5):
             says = counts >= hits
-            wrong = says[label == 0].mean() + (~says[label == 1]).mean()
-            best = min(best or (wrong, gain, hits), (wrong, gain, hits))
-    return Distance(model.ordinary, model.toxic, float(best[1]), best[2])
+            tried.append((says[label == 0].mean() + (~says[label == 1]).mean(), hits, gain))
+    wrong, hits, _ = min(tried)
+    # of thresholds that do equally well, the middle one is the safest
+    equal = [g for w, h, g in tried if (w, h) == (wrong, hits)]
+    return Distance(model.ordinary, model.toxic, float(equal[len(equal) // 2]), hits)
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Distance:

@@ -22,7 +22,7 @@ from textmill.storage import materialize
 
 ORDER = 2
 BACKOFF = 0.4
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -53,32 +53,26 @@ def _block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _grams(sizes: list[int], packed: bytes, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """First word of each document, and per order the hash of the n-gram at each word (0: none).
-
-    An n-gram lies in one document; its order is part of its hash.
-    """
+def _words(sizes: list[int], packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First word of each document of a block, and the hash of every word."""
     raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
     bounds = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64))))
     start, end, first = row_words(raw, bounds)
-    words = span_hashes(raw, start, end)
-    room = np.repeat(first[1:], np.diff(first)) - np.arange(len(words))
-    grams = []
-    for n in range(1, order + 1):
-        hashed = np.zeros(len(words), np.uint64)
-        some = mix(gram_hashes(words, n) + np.uint64(n)) | np.uint64(1)
-        hashed[: len(some)] = some
-        grams.append(np.where(room >= n, hashed, np.uint64(0)))
-    return first, grams
+    return first, span_hashes(raw, start, end)
 
 
-def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes, the place of each gram's hash among them, and their counts; none of the zeros."""
-    every = np.concatenate(grams)
-    keys, place, count = np.unique(every, return_inverse=True, return_counts=True)
-    if len(keys) and keys[0] == 0:
-        return keys[1:], place - 1, count[1:]
-    return keys, place, count
+def _distinct(first: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of a block, their counts, and at each word the place of the n-gram that begins there (-1: none).
+
+    An n-gram lies in one document; its length is part of its hash.
+    """
+    room = np.repeat(first[1:], np.diff(first)) - np.arange(len(words))
+    begins = np.flatnonzero(room >= n)
+    grams = mix(gram_hashes(words, n) + np.uint64(n))[begins]
+    keys, where, count = np.unique(grams, return_inverse=True, return_counts=True)
+    place = np.full(len(words), -1, np.int32)
+    place[begins] = where
+    return keys, count, place
 
 
 def _split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,21 +86,24 @@ def _split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.n
 def _send(order: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, sizes, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                _, grams = _grams(sizes, packed, order)
-                keys, _, count = _distinct(grams)
-                by, used, cut = _split(keys, buckets)
-                keys, count = keys[by], count[by]
-                parts = [slice(a, b) for a, b in zip(cut.tolist(), cut[1:].tolist())]
-                yield pa.record_batch(
-                    [
-                        pa.array(used, pa.int32()),
-                        pa.array([block] * len(used), pa.int64()),
-                        pa.array([_planes(np.diff(keys[p], prepend=np.uint64(0))) for p in parts], pa.binary()),
-                        pa.array([_planes(count[p]) for p in parts], pa.binary()),
-                    ],
-                    ["bucket", "block", "keys", "counts"],
-                )
+            for row in range(batch.num_rows):
+                block, sizes, packed = (c[row].as_py() for c in batch.columns)
+                first, words = _words(sizes, packed)
+                for n in range(1, order + 1):
+                    keys, count, _ = _distinct(first, words, n)
+                    by, used, cut = _split(keys, buckets)
+                    keys, count = keys[by], count[by]
+                    parts = [slice(a, b) for a, b in zip(cut.tolist(), cut[1:].tolist())]
+                    yield pa.record_batch(
+                        [
+                            pa.array(used, pa.int32()),
+                            pa.array([block] * len(used), pa.int64()),
+                            pa.array([n] * len(used), pa.int32()),
+                            pa.array([_planes(np.diff(keys[p], prepend=np.uint64(0))) for p in parts], pa.binary()),
+                            pa.array([_planes(count[p]) for p in parts], pa.binary()),
+                        ],
+                        ["bucket", "block", "length", "keys", "counts"],
+                    )
 
     return run
 
@@ -120,25 +117,34 @@ def _total(bucket: pa.Table) -> pa.Table:
     np.add.at(total, place, np.concatenate(counts))
     ends = np.cumsum([len(k) for k in keys])
     values = [_planes(total[place[e - len(k) : e]]) for k, e in zip(keys, ends.tolist())]
-    return pa.table({"block": bucket["block"], "bucket": bucket["bucket"], "totals": pa.array(values, pa.binary())})
+    return pa.table(
+        {
+            "block": bucket["block"],
+            "bucket": bucket["bucket"],
+            "length": bucket["length"],
+            "totals": pa.array(values, pa.binary()),
+        }
+    )
 
 
 def _score(order: int, buckets: int, words_in_all: int, backoff: float):
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         ids, sizes, packed = (blocks[c].to_pylist()[0] for c in ("ids", "sizes", "packed"))
-        first, grams = _grams(sizes, packed, order)
-        n, documents = len(grams[0]), len(ids)
+        first, hashed = _words(sizes, packed)
+        n, documents = len(hashed), len(ids)
         doc = np.repeat(np.arange(documents), np.diff(first))
-        keys, place, _ = _distinct(grams)
-        total = np.zeros(len(keys), np.int64)
-        by, used, cut = _split(keys, buckets)
-        told = dict(zip(answers["bucket"].to_pylist(), answers["totals"].to_pylist()))
-        for b, start, end in zip(used.tolist(), cut.tolist(), cut[1:].tolist()):
-            total[by[start:end]] = _numbers(told[b]).astype(np.int64)
+        told = {
+            (k, b): v
+            for k, b, v in zip(*(answers[c].to_pylist() for c in ("length", "bucket", "totals")))
+        }
         # counts without the document's own occurrences
         others = []
-        for k in range(order):
-            mine = place[k * n : (k + 1) * n]
+        for k in range(1, order + 1):
+            keys, _, mine = _distinct(first, hashed, k)
+            total = np.zeros(len(keys), np.int64)
+            by, used, cut = _split(keys, buckets)
+            for b, start, end in zip(used.tolist(), cut.tolist(), cut[1:].tolist()):
+                total[by[start:end]] = _numbers(told[k, b]).astype(np.int64)
             has = mine >= 0
             left = np.zeros(n, np.int64)
             _, where, own = np.unique(doc[has] * (len(keys) + 1) + mine[has], return_inverse=True, return_counts=True)
@@ -192,9 +198,9 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF
         "blocks",
     )
     sent = blocks.select("block", "sizes", "packed").mapInArrow(
-        _send(order, buckets), "bucket int, block bigint, keys binary, counts binary"
+        _send(order, buckets), "bucket int, block bigint, length int, keys binary, counts binary"
     )
-    answers = sent.groupBy("bucket").applyInArrow(_total, "block bigint, bucket int, totals binary")
+    answers = sent.groupBy("bucket").applyInArrow(_total, "block bigint, bucket int, length int, totals binary")
     words = docs.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD))), F.lit(0))).first()[0]
     scored = (
         blocks.groupBy("block")

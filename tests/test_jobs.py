@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators.results import failure_reason, missing_results, result_rows
 from textmill.operators.summary import LINES_PER_PART, summary_parts, summary_stats
-from textmill.operators.tasks import correlate_responses, fan_out, job_response_messages, route_messages, task_messages
+from textmill.operators.tasks import correlate_responses, job_response_messages, route_messages, task_messages
 from textmill.plans.job import run_job
 
 RESULTS = (
@@ -22,7 +22,7 @@ def test_run_job(spark, tmp_path):
     )
     out = str(tmp_path / "out")
     jobs = spark.createDataFrame([("j1",), ("j2",), ("j3",)], "job_id string")
-    stats = run_job(spark, str(tmp_path / "input"), docs, out, n=3, jobs=jobs)
+    stats = run_job(spark, str(tmp_path / "input"), docs, out, jobs=jobs)
     total = stats.where("level = 3").collect()[0]
     assert (total.total, total.successes, total.errors) == (10, 6, 4)
     body = spark.read.parquet(f"{out}/annotated").where("method = 'POS' and url = 'http://h/two.txt'").collect()
@@ -121,12 +121,6 @@ def test_responses_reach_their_owner(spark):
     assert [tuple(r) for r in rows] == [("mine", "local-app-output-mine", "output/mine_summary.html")]
 
 
-@pytest.mark.parametrize("n, parts", [(1, 4), (5, 2), (0, 4), (100, 1)])
-def test_fan_out(spark, n, parts):
-    tasks = spark.range(10).select(F.lit("j").alias("job_id"), F.col("id").alias("line_no"))
-    assert fan_out(tasks, n).rdd.getNumPartitions() == parts
-
-
 def test_own_annotator_for_a_method(spark):
     from textmill.operators.annotate import annotate_with, register_annotator
 
@@ -155,7 +149,7 @@ def test_own_annotator_for_a_method(spark):
     )
     rows = annotate_with(fetched, {"DEPENDENCY": "TEST"}, budget_s=0.3).orderBy("line_no").collect()
     assert [(r.line_no, r.body, r.error) for r in rows] == [
-        (1, "<one.>\n[ERROR: no parse]\n<two.>\n", None),
+        (1, "<one.>\n\n[ERROR: no parse]\n<two.>\n\n", None),
         (2, None, "Task Timed Out"),
         (3, None, "Document not found"),
         (4, "", None),
@@ -171,3 +165,98 @@ def test_empty_completion_messages_are_dropped(spark):
     odd = spark.createDataFrame([(3, '{"type":"x","data":null}'), (4, "{"), (5, '{"data":{"jobId":"j"}}')], sent.schema)
     rows = decode_completions(sent.unionByName(odd)).orderBy("msg_id").collect()
     assert [tuple(r) for r in rows] == [(1, "j", True), (2, "j", False), (5, "j", False)]
+
+
+def put_manifest(folder, job, *lines):
+    (folder / job).mkdir(parents=True)
+    (folder / job / "input.txt").write_text("\n".join(lines))
+
+
+@pytest.mark.parametrize("layout", ["table", "text"])
+def test_a_rerun_replaces_its_jobs_and_no_other(spark, tmp_path, layout):
+    """Job "a 1" is emptied, "b:2" shrinks, "c" is not in the second run."""
+    from textmill.sinks.tables import clear_jobs, write_annotated
+
+    docs = spark.createDataFrame([("u1", "One two."), ("u2", "Three.")], "url string, text string")
+    first, second, out = tmp_path / "first", tmp_path / "second", str(tmp_path / "out")
+    for job in ("a 1", "b:2", "c"):
+        put_manifest(first, job, "POS\tu1", "DEPENDENCY\tu2", "POS\tgone")
+    put_manifest(second, "a 1", "nothing valid")
+    put_manifest(second, "b:2", "POS\tu2")
+    run_job(spark, str(first), docs, out)
+    stats = run_job(spark, str(second), docs, out)
+    assert [tuple(r) for r in stats.where("level = 1").select("job_id", "total", "successes").collect()] == [("b:2", 1, 1)]
+    head = spark.read.schema("value string, job_id string").text(f"{out}/summary").where("value LIKE '<p>Total%'")
+    assert {r.job_id: r.value.split(" ")[1] for r in head.collect()} == {"a 1": "0", "b:2": "1", "c": "3"}
+    kept = spark.read.schema("line_no long, body string, job_id string, method string").parquet(f"{out}/annotated")
+    assert sorted((r.job_id, r.method) for r in kept.collect()) == [("b:2", "POS"), ("c", "DEPENDENCY"), ("c", "POS")]
+    # the sink by itself
+    rows = spark.createDataFrame(
+        [("a", 0, "POS", "x/u1.txt", "A"), ("a", 1, "POS", "x/u2.txt", "B"), ("b", 0, "POS", "x/u1.txt", "C")],
+        "job_id string, line_no long, method string, url string, body string",
+    )
+    path = str(tmp_path / "sink")
+    write_annotated(rows, path, layout)
+    again = rows.where("job_id = 'a' and line_no = 1")
+    clear_jobs(again, path)
+    write_annotated(again, path, layout)
+    read = spark.read.parquet(path) if layout == "table" else spark.read.text(path).withColumnRenamed("value", "body")
+    assert sorted((r.job_id, r.body) for r in read.collect()) == [("a", "B"), ("b", "C")]
+
+
+def fetched_rows(spark):
+    return spark.createDataFrame(
+        [
+            ("j", 0, "CONSTITUENCY", "u", "A b c d e f. Short one. Next.", None),
+            ("j", 1, "CONSTITUENCY", "v", "Fine.", None),
+            ("j", 2, "POS", "w", "Plain words.", None),
+        ],
+        "job_id string, line_no long, method string, url string, text string, error string",
+    )
+
+
+def test_built_in_rules_hold_for_plugged_in_parsers(spark):
+    from textmill.operators.annotate import annotate_with, register_annotator
+
+    def loader():
+        def parser(sentence):
+            if len(sentence.split()) > 3:
+                raise AssertionError("the guard let a long sentence through")
+            return 7 if sentence == "Next." else f"<{sentence}>"
+
+        return parser
+
+    register_annotator("GUARDED", loader)
+    rows = annotate_with(fetched_rows(spark), {"CONSTITUENCY": "GUARDED"}, max_tokens=5).orderBy("line_no").collect()
+    assert rows[0].body == "[SKIPPED LONG SENTENCE: 7 words]\n<Short one.>\n\n[ERROR: int instead of text]\n"
+    assert rows[1].body == "<Fine.>\n\n" and [r.error for r in rows] == [None, None, None]
+
+
+def test_a_failing_loader_fails_its_tasks_only(spark):
+    from textmill.operators.annotate import annotate_with, register_annotator
+
+    def loader():
+        raise OSError("no model here")
+
+    register_annotator("BROKEN", loader)
+    rows = annotate_with(fetched_rows(spark), {"CONSTITUENCY": "BROKEN"}).orderBy("line_no").collect()
+    assert [r.error for r in rows] == ["Annotator not loaded: no model here"] * 2 + [None]
+    assert rows[0].body is None and rows[2].body
+
+
+def test_the_time_budget_is_of_the_task(spark):
+    from textmill.operators.annotate import annotate_with, register_annotator
+
+    def loader():
+        import time
+
+        def slow(sentence):
+            time.sleep(0.15)
+            return sentence
+
+        return slow
+
+    register_annotator("EACH", loader)
+    rows = annotate_with(fetched_rows(spark), {"CONSTITUENCY": "EACH"}, budget_s=0.35).orderBy("line_no").collect()
+    assert rows[0].error and rows[0].body is None
+    assert rows[1].error is None and rows[1].body == "Fine.\n\n"

@@ -149,3 +149,20 @@ def test_message_sink(spark, tmp_path):
 def test_parse_manifest_trims_control_characters(spark):
     df = spark.createDataFrame([("j", 0, "\x01POS \t\x0bhttp://h/a\x00")], "job_id string, line_no long, line string")
     assert [tuple(r) for r in parse_manifest(df).collect()] == [("j", 0, "POS", "http://h/a")]
+
+
+def test_names_with_blanks_and_signs(spark, tmp_path):
+    from textmill.sources.documents import read_documents
+    from textmill.sources.manifest import read_manifest
+
+    (tmp_path / "d").mkdir()
+    for name in ("a b.txt", "50%.txt", "x+y.txt"):
+        (tmp_path / "d" / name).write_text(name)
+    got = {r.url.rsplit("/", 1)[1]: r.text for r in read_documents(spark, str(tmp_path / "d")).collect()}
+    assert got == {n: n for n in ("a b.txt", "50%.txt", "x+y.txt")}
+    rows = spark.createDataFrame([("job: 2/3", "POS\tu")], "job_id string, value string")
+    rows.write.partitionBy("job_id").text(str(tmp_path / "m"))
+    (tmp_path / "n" / "job one").mkdir(parents=True)
+    (tmp_path / "n" / "job one" / "input.txt").write_text("POS\tu")
+    for folder, job in (("m", "job: 2/3"), ("n", "job one")):
+        assert [r.job_id for r in read_manifest(spark, str(tmp_path / folder)).collect()] == [job]

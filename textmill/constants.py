@@ -15,6 +15,7 @@ ERR_METHOD = "Invalid parsing method: "
 ERR_TIMEOUT = "Task Timed Out"
 ERR_INTERRUPTED = "Worker Interrupted"
 ERR_NO_DOCUMENT = "Document not found"  # our own wording
+ERR_NOT_LOADED = "Annotator not loaded: "  # our own wording
 
 # Key and link formats.
 RESULTS_PREFIX = "workers-results"
@@ -40,7 +41,7 @@ HTML_ESCAPES = (
     ("'", "&#39;"),
 )
 
-# Closed-class English words by Penn tag.
+# Our own choice: English words of the closed classes of the Penn tag set.
 CLOSED_CLASS = {
     "DT": ("a", "an", "the", "this", "that", "these", "those", "each", "every", "some", "any", "no", "all", "both"),
     "IN": (
@@ -65,7 +66,7 @@ CLOSED_CLASS = {
     "RB": ("not", "very", "too", "also", "never", "always", "again"),
 }
 
-# Suffix rules, first match wins.
+# Our own choice: suffix rules, first match wins.
 SUFFIX_TAGS = (
     ("ing", "VBG"),
     ("ed", "VBD"),
@@ -82,7 +83,7 @@ SUFFIX_TAGS = (
     ("s", "NNS"),
 )
 
-# Relation of a token to its head, by tag, in shallow parses.
+# Our own choice: relation of a token to its head, by tag, in shallow parses.
 SHALLOW_RELATIONS = {
     "DT": "det",
     "IN": "case",

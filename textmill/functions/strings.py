@@ -57,3 +57,8 @@ def html_escape(text: Column) -> Column:
     for plain, entity in K.HTML_ESCAPES:
         out = F.replace(out, F.lit(plain), F.lit(entity))
     return out
+
+
+def percent_decoded(name: Column) -> Column:
+    """Resolve percent escapes; a plus sign stays one, and a stray percent sign leaves the name as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)

@@ -85,16 +85,22 @@ def log_likelihood(k11: Column, c1: Column, c2: Column, total: Column) -> Column
     return 2.0 * (cells - rows - columns + _xlogx(total))
 
 
-def collocations(bigrams: DataFrame, k: int, min_count: int = 5) -> DataFrame:
+def collocations(bigrams: DataFrame, k: int, min_count: int = 1) -> DataFrame:
     """The ``k`` strongest bigrams per language by log-likelihood ratio.
 
-    ``bigrams`` is read four times: pass a stored or materialized table.  The
-    marginals are stored, then joined after the count filter, where little is
-    left.
+    Bigrams seen fewer than ``min_count`` times are not ranked (1: all are).  ``bigrams``
+    is read twice: pass a stored or materialized table.  All marginals come from one
+    pass; they are joined after the count filter, where little is left.
     """
-    first = materialize(bigrams.groupBy("lang", "w1").agg(F.sum("n").alias("c1")), "marginals")
-    second = materialize(bigrams.groupBy("lang", "w2").agg(F.sum("n").alias("c2")), "marginals")
-    totals = materialize(bigrams.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
+    word = F.col
+    marginals = materialize(
+        bigrams.groupingSets([[word("lang"), word("w1")], [word("lang"), word("w2")], [word("lang")]], "lang", "w1", "w2")
+        .agg(F.sum("n").alias("c"), F.grouping_id().alias("level")),
+        "marginals",
+    )
+    first = marginals.where("level = 1").select("lang", "w1", F.col("c").alias("c1"))
+    second = marginals.where("level = 2").select("lang", "w2", F.col("c").alias("c2"))
+    totals = marginals.where("level = 3").select("lang", F.col("c").alias("total"))
     kept = bigrams.where(F.col("n") >= min_count)
     ident = ["lang", "w1", "w2"]
     rows = join_lookup(kept, totals, ["lang"], ident)

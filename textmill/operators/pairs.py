@@ -14,21 +14,25 @@ def pair_symmetry(pairs: DataFrame) -> DataFrame:
 
     ``reverse_as_is``: the pair with both sides exchanged is present literally,
     which needs the same slot order.  ``reverse_renamed``: it is present after
-    exchanging the names X and Y, too.
+    exchanging the names X and Y, too.  A pair and its reverse are counted in one
+    row, so one aggregate does it; a pair of equal sides is its own reverse.
     """
-    counts = materialize(pairs.groupBy("p", "q", "swapped").agg(F.count(F.lit(1)).alias("n")), "pair-counts")
-    reverse = counts.select(
-        F.col("q").alias("p"), F.col("p").alias("q"), "swapped", F.lit(True).alias("_reverse")
+    turned = F.col("p") > F.col("q")
+    rows = (
+        pairs.groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), "swapped")
+        .agg(F.count_if(~turned).alias("there"), F.count_if(turned).alias("back"))
+        .withColumn("both", (F.col("there") > 0) & ((F.col("back") > 0) | (F.col("a") == F.col("b"))))
     )
-    joined = counts.join(reverse, ["p", "q", "swapped"], "left")
-    found = F.coalesce("_reverse", F.lit(False))
-    return joined.select(
-        "p",
-        "q",
-        "swapped",
-        "n",
-        (found & ~F.col("swapped")).alias("reverse_as_is"),
-        found.alias("reverse_renamed"),
+    directions = F.inline(
+        F.array(
+            F.struct(F.col("a").alias("p"), F.col("b").alias("q"), F.col("there").alias("n")),
+            F.struct(F.col("b").alias("p"), F.col("a").alias("q"), F.col("back").alias("n")),
+        )
+    )
+    return (
+        rows.select("swapped", "both", directions)
+        .where("n > 0")
+        .select("p", "q", "swapped", "n", (F.col("both") & ~F.col("swapped")).alias("reverse_as_is"), F.col("both").alias("reverse_renamed"))
     )
 
 

@@ -10,9 +10,7 @@ from textmill.storage import materialize
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
 
 
 def spread(scan: DataFrame, *key: str) -> DataFrame:
@@ -64,37 +62,38 @@ def join_lookup(
     return join_hot(facts, dim, on, ident, how, hot_rows)
 
 
+def hot_keys(facts: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every key with more than ``hot_rows`` rows, and into how many parts it goes (``_parts``).
+
+    Twice as many parts as the rows ask for, so that an uneven hash fills none above ``hot_rows``.
+    """
+    counted = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    return counted.select(*on, F.ceil(2 * F.col("_rows") / hot_rows).cast("int").alias("_parts"))
+
+
+def salted(facts: DataFrame, hot: DataFrame, on: list[str], ident: list[str]) -> DataFrame:
+    """``facts`` with the ``_salt`` of each row: 0, or a part of its hot key.
+
+    The list is broadcast if it measures small; beyond that the rows meet it by a shuffle, in
+    which AQE splits the partitions of hot keys, as the list has one row per key.
+    """
+    flag = F.broadcast(hot) if fits_broadcast(hot) else hot
+    salt = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*ident), F.col("_parts")))
+    return facts.join(flag, on, "left").withColumn("_salt", salt.cast("int")).drop("_parts")
+
+
 def join_hot(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    ident: list[str],
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    facts: DataFrame, dim: DataFrame, on: list[str], ident: list[str], how: str = "inner", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Shuffle join (inner, left, left_semi, left_anti) salted for hot keys only.
 
-    Keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them, are
-    spread over ``salts`` sub-keys and their ``dim`` rows repeated for each.  A
-    key that misses the list holds under 1/MAX_HOT_KEYS of the rows.  ``ident``
-    are columns that tell the fact rows apart, so that the salt of a row is the
-    same in every attempt of its task.
+    Keys with more than ``hot_rows`` rows, however many they are, are cut into parts that hold less,
+    and their ``dim`` rows repeated for each part.  ``ident`` are columns that tell the fact rows
+    apart, so that the salt of a row is the same in every attempt of its task.
     """
-    hot = materialize(
-        facts.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *on)
-        .limit(MAX_HOT_KEYS)
-        .select(*on),
-        "hot-keys",
-    )
+    hot = materialize(hot_keys(facts, on, hot_rows), "hot-keys")
     if hot.isEmpty():
         return facts.join(dim, on, how)
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*ident), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = facts.join(flag, on, "left").withColumn("_salt", salt).drop("_hot")
-    right = dim.join(flag, on, "left").withColumn("_salt", F.explode(spread)).drop("_hot")
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    right = dim.join(hot, on, "left").withColumn("_salt", F.explode(parts)).drop("_parts")
+    return salted(facts, hot, on, ident).join(right, [*on, "_salt"], how).drop("_salt")

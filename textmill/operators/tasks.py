@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill import constants as K
 from textmill.functions import envelope
-from textmill.functions.numbers import ceil_div, ratio
+from textmill.functions.numbers import ratio
 
 
 def task_messages(tasks: DataFrame) -> DataFrame:
@@ -114,10 +114,3 @@ def correlate_responses(responses: DataFrame, own_jobs: DataFrame) -> DataFrame:
     own = own_jobs.select(F.col("job_id").cast("string").alias("job_id"), reply_address(F.col("job_id")).alias("reply_to"))
     return wanted.join(own, ["job_id", "reply_to"], "left_semi").select("job_id", "reply_to", "summary_key")
 
-
-def fan_out(tasks: DataFrame, n: int, cap: int | None = None) -> DataFrame:
-    """Spread tasks over ``ceil(total / n)`` partitions, at most ``cap``."""
-    spark = tasks.sparkSession
-    row = tasks.agg(ceil_div(F.count(F.lit(1)), ratio(F.lit(n))).alias("wanted")).first()
-    cap = cap or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return tasks.repartition(max(1, min(row["wanted"], cap)), "job_id", "line_no")

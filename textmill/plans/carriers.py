@@ -15,6 +15,9 @@ from textmill.functions.text import pairs_of, word_array
 from textmill.operators.skew import spread
 from textmill.sources.manifest import parse_manifest
 
+#: Line numbers of the lines without a document start here.
+MISSING = 1_000_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,7 +36,10 @@ def document_url(doc_id: Column) -> Column:
 
 
 def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One manifest line per document, with the oddities manifests have."""
+    """One manifest line per document, with the oddities manifests have.
+
+    For every twentieth document there is a further line that names a document which does not exist.
+    """
     doc_id = F.col("doc_id")
     method, url = document_method(doc_id), document_url(doc_id)
     line = (
@@ -43,9 +49,11 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(method, F.lit("\t"), url))
     )
     ending = F.when(doc_id % 3 == 0, "\r").otherwise("")
-    return table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents")
+    lost = F.concat(method, F.lit("\tmissing/"), doc_id.cast("string"), F.lit(".txt"))
+    return rows.select(
         F.col("source").alias("job_id"), doc_id.alias("line_no"), F.concat(line, ending).alias("line")
-    )
+    ).union(rows.where(doc_id % 20 == 0).select("source", doc_id + MISSING, lost))
 
 
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +61,8 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(url, text)``; every twentieth document is missing."""
-    rows = table(spark, sf_dir, "documents").where("doc_id % 20 <> 0")
+    """``(url, text)`` of all documents."""
+    rows = table(spark, sf_dir, "documents")
     return rows.select(document_url(F.col("doc_id")).alias("url"), "text")
 
 

@@ -9,8 +9,7 @@ from textmill.operators.annotate import annotate, annotate_with, annotated_text
 from textmill.operators.fetch import fetch
 from textmill.operators.results import result_rows
 from textmill.operators.summary import summary_parts, summary_stats
-from textmill.operators.tasks import fan_out
-from textmill.sinks.tables import write_annotated, write_results, write_summaries
+from textmill.sinks.tables import clear_jobs, write_annotated, write_results, write_summaries
 from textmill.sources.manifest import parse_manifest, read_manifest_lines
 from textmill.sources.results import read_results
 from textmill.storage import materialize
@@ -21,7 +20,6 @@ def run_job(
     manifest_path: str,
     docs: DataFrame,
     out: str,
-    n: int = 1,
     bucket: str = "text-results",
     max_tokens: int = K.MAX_SENTENCE_TOKENS,
     annotators: dict[str, str] | None = None,
@@ -31,15 +29,15 @@ def run_job(
     """Process all manifests below ``manifest_path`` against ``docs(url, text)``.
 
     Writes ``out/annotated``, ``out/results`` and ``out/summary`` and returns
-    the summary totals.  ``n`` is the tasks per partition wished for.  A job
-    whose manifest has no valid line gets a summary with total 0.
+    the summary totals.  What the jobs in hand wrote there before is replaced as a
+    whole, that of other jobs stays.  A job whose manifest has no valid line gets a summary with total 0.
     ``annotators`` names registered Python annotators for some methods;
-    ``visibility_s`` bounds the time of their sentences.  ``jobs(job_id)`` are
+    ``visibility_s`` bounds the time they take for a task.  ``jobs(job_id)`` are
     the jobs that get a summary; without it, those whose manifest has a line
     (Spark does not see empty files).
     """
     lines = read_manifest_lines(spark, manifest_path)
-    tasks = materialize(fan_out(parse_manifest(lines), n), "tasks")
+    tasks = materialize(parse_manifest(lines), "tasks")
     fetched = fetch(tasks, docs)
     if annotators:
         # errors come up while annotating: store that, as both outputs need it
@@ -49,10 +47,11 @@ def run_job(
     else:
         # built-in annotators do not fail: outcomes need the URLs, not the text
         annotated, outcomes = annotate(fetched, max_tokens), fetched
+    jobs = materialize((jobs if jobs is not None else lines).select("job_id").distinct(), "jobs")
+    in_hand = jobs.union(lines.select("job_id")).distinct()
+    clear_jobs(in_hand, f"{out}/annotated", f"{out}/results", f"{out}/summary")
     write_annotated(annotated_text(annotated), f"{out}/annotated")
     write_results(result_rows(outcomes, bucket), f"{out}/results")
-    results = read_results(spark, f"{out}/results")
-    jobs = (jobs if jobs is not None else lines).select("job_id").distinct()
-    results = results.join(jobs, "job_id", "left_semi")
+    results = read_results(spark, f"{out}/results").join(jobs, "job_id", "left_semi")
     write_summaries(summary_parts(results, jobs), f"{out}/summary")
     return summary_stats(results)

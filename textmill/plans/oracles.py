@@ -40,7 +40,10 @@ MANIFEST = f"""lines AS (
          WHEN doc_id % 50 = 2 THEN {METHOD.format('doc_id')} || chr(9) || {URL.format('doc_id')} || chr(9) || 'note'
          ELSE {METHOD.format('doc_id')} || chr(9) || {URL.format('doc_id')} END
     || CASE WHEN doc_id % 3 = 0 THEN chr(13) ELSE '' END AS line
-  FROM documents),
+  FROM documents
+  UNION ALL
+  SELECT source, doc_id + 1000000000, {METHOD.format('doc_id')} || chr(9) || 'missing/' || doc_id || '.txt'
+  FROM documents WHERE doc_id % 20 = 0),
 fields AS (
   SELECT job_id, line_no, string_split(regexp_replace(line, '\\t*\\r?$', ''), chr(9)) AS f FROM lines),
 parts AS (
@@ -49,7 +52,7 @@ tasks AS (
   SELECT job_id, line_no, method, url FROM parts WHERE n >= 2 AND method <> '' AND url <> '')"""
 
 RESULTS = f"""{MANIFEST},
-docs AS (SELECT {URL.format('doc_id')} AS url, text FROM documents WHERE doc_id % 20 <> 0),
+docs AS (SELECT {URL.format('doc_id')} AS url, text FROM documents),
 fetched AS (
   SELECT t.job_id, t.line_no, t.method, t.url,
     CASE WHEN t.method IN ('POS', 'CONSTITUENCY', 'DEPENDENCY') THEN d.text END AS text,
@@ -209,7 +212,7 @@ ORACLES: dict[str, str] = {
     "manifest_rejects": f"""WITH {MANIFEST}
 SELECT job_id, line_no, CASE WHEN n < 2 THEN 'too few fields' ELSE 'empty field' END AS reason
 FROM parts WHERE n < 2 OR method = '' OR url = ''""",
-    "manifest_scan": f"WITH {MANIFEST} SELECT job_id, method, url FROM tasks",
+    "manifest_scan": f"WITH {MANIFEST} SELECT 'run 1: ' || job_id AS job_id, method, url FROM tasks",
     "task_messages": f"""WITH {MANIFEST}
 SELECT job_id, line_no, '{{"type":"urlParseRequest","data":{{"parsingMethod":"' || method || '","url":"' || url
   || '","jobId":"' || job_id || '"}}}}' AS body FROM tasks""",
@@ -483,6 +486,33 @@ SELECT *, CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 4) END AS precision,
   CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 4) END AS recall,
   CASE WHEN 2 * tp + fp + fn > 0 THEN round(2 * tp / (2 * tp + fp + fn), 4) END AS f1
 FROM c""",
+    "summary_scan": f"""WITH {RESULTS},
+all_jobs AS (SELECT DISTINCT source AS job_id FROM documents),
+totals AS (
+  SELECT j.job_id, count(r.job_id) AS total, count(*) FILTER (r.success) AS good
+  FROM all_jobs j LEFT JOIN results r ON j.job_id = r.job_id GROUP BY j.job_id),
+printed AS (
+  SELECT job_id, regexp_replace({HTML_LINE}, '\n$', '') AS line FROM results
+  UNION ALL
+  SELECT job_id, unnest(['<!DOCTYPE html>', '<html lang="en"><head><meta charset="UTF-8"><title>Results</title></head><body>',
+    '<p>Total: ' || total || ' | Success: ' || good || ' | Errors: ' || (total - good) || '</p>', '</body></html>'])
+  FROM totals)
+SELECT job_id, line, count(*) AS n FROM printed GROUP BY job_id, line""",
+    "job_run": f"""WITH {RESULTS},
+all_jobs AS (SELECT DISTINCT source AS job_id FROM documents)
+SELECT j.job_id, count(r.job_id) AS total, count(*) FILTER (r.success) AS successes
+FROM all_jobs j LEFT JOIN results r ON j.job_id = r.job_id AND r.job_id <> 'src0' GROUP BY j.job_id""",
+    "document_files": """SELECT 'lang: ' || lang AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes
+FROM documents GROUP BY lang""",
+    "annotate_plugged": f"""WITH {FETCHED_TAGGED},
+cut AS (SELECT line_no, i, ss[i] AS sent FROM (SELECT line_no, ss, unnest(range(1, len(ss) + 1)) AS i FROM sentence_lists)),
+sized AS (SELECT line_no, i, sent, len({TOKENS.format('sent')}) AS k FROM cut),
+bodies AS (
+  SELECT line_no, string_agg(CASE WHEN k > 20 THEN '[SKIPPED LONG SENTENCE: ' || k || ' words]' || chr(10)
+    ELSE '(' || len(string_split(sent, ' ')) || ')' || chr(10) || chr(10) END, '' ORDER BY i) AS body
+  FROM sized GROUP BY line_no)
+SELECT f.job_id, f.line_no, coalesce(b.body, '') AS body
+FROM ok f LEFT JOIN bodies b ON f.line_no = b.line_no WHERE f.method = 'CONSTITUENCY'""",
     "stream_completions": "SELECT user_id AS job_id, count(*) AS done FROM events GROUP BY user_id",
     "stream_dedup": f"WITH {COMPLETIONS} SELECT * FROM once",
     "stream_job_done": f"""WITH {PROGRESS} SELECT job_id, total FROM progress WHERE complete""",

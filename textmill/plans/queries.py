@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from textmill import constants as K
 from textmill.functions import strings as S
+from textmill.functions.strings import percent_decoded
 from textmill.functions.text import word_array
 from textmill.operators import annotate as A
 from textmill.operators import corpus, fetch, pairs, progress, results, sessions, summary, tagstats, tasks
 from textmill.operators.skew import spread
 from textmill.plans import carriers as C
+from textmill.plans.job import run_job
 from textmill.sinks import tables as sinks
 from textmill.sources import documents, manifest, messages, tagged, wordlists
 from textmill.sources import results as result_source
@@ -26,6 +28,12 @@ BUCKET = "text-results"
 MAX_TOKENS = 20
 STOP_WORDS = 20
 TOP_COLLOCATIONS = 500
+#: Bigrams seen less often are not ranked: the ratio says little about them.
+LEAST_SEEN = 5
+#: Words seen less often are tagged by rule, not by what was seen.
+LEARNED_FROM = 5
+#: Documents in a text file.
+FILE_ROWS = 1_000
 THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 VISIBILITY_STEP_S = 14_400
 
@@ -70,7 +78,8 @@ def manifest_rejects(spark, sf_dir):
 def manifest_scan(spark, sf_dir):
     """Manifests written as text files per job and scanned back."""
     path = scratch_path(spark, "manifests")
-    lines = C.manifest_lines(spark, sf_dir).select("job_id", F.col("line").alias("value"))
+    job = F.concat(F.lit("run 1: "), "job_id").alias("job_id")
+    lines = C.manifest_lines(spark, sf_dir).select(job, F.col("line").alias("value"))
     lines.write.partitionBy("job_id").text(path)
     return manifest.read_manifest(spark, path).select("job_id", "method", "url")
 
@@ -122,6 +131,19 @@ def document_scan(spark, sf_dir):
     return documents.body_stats(bodies.unionByName(pages))
 
 
+@query
+def document_files(spark, sf_dir):
+    """Documents written as text files below folders with blanks and colons, read back file by file."""
+    path = scratch_path(spark, "files")
+    folder = F.concat(F.lit("lang: "), "lang").alias("folder")
+    bodies = _documents(spark, sf_dir).select(folder, F.col("text").alias("value"))
+    bodies.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("folder").text(path)
+    files = documents.read_documents(spark, path)
+    # the partition writer escapes the colon in the folder's own name
+    name = percent_decoded(F.regexp_extract("url", "folder=([^/]*)/[^/]*$", 1))
+    return files.groupBy(name.alias("folder")).agg(F.sum(F.octet_length("text")).cast("bigint").alias("n_bytes"))
+
+
 @query
 def fetch_or_error(spark, sf_dir):
     return fetch.fetch_or_error(C.tasks(spark, sf_dir), C.docs(spark, sf_dir))
@@ -213,6 +235,38 @@ def summary_html(spark, sf_dir):
     return summary.summary_parts(stored, C.jobs(spark, sf_dir))
 
 
+@query
+def summary_scan(spark, sf_dir):
+    """Summaries of all jobs, then of one job again, and all read back as lines."""
+    path = scratch_path(spark, "summaries")
+    stored = materialize(_results(spark, sf_dir), "results")
+    jobs = C.jobs(spark, sf_dir)
+    sinks.write_summaries(summary.summary_parts(stored, jobs), path)
+    one = "job_id = 'src0'"
+    sinks.write_summaries(summary.summary_parts(stored.where(one), jobs.where(one)), path)
+    lines = spark.read.schema("value string, job_id string").text(path)
+    return lines.groupBy("job_id", F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def job_run(spark, sf_dir):
+    """Totals in the summaries after a whole run and a second one of two jobs, one of them emptied."""
+    out = scratch_path(spark, "run")
+    docs = spread(C.docs(spark, sf_dir), "url")
+    lines = C.manifest_lines(spark, sf_dir).select("job_id", F.col("line").alias("value"))
+    lines.write.partitionBy("job_id").text(f"{out}/manifests")
+    run_job(spark, f"{out}/manifests", docs, f"{out}/out")
+    empty = spark.createDataFrame([("src0", "nothing valid")], "job_id string, value string")
+    again = lines.where("job_id = 'src1'").union(empty)
+    again.write.partitionBy("job_id").text(f"{out}/manifests-again")
+    run_job(spark, f"{out}/manifests-again", docs, f"{out}/out")
+    totals = spark.read.schema("value string, job_id string").text(f"{out}/out/summary").where("value LIKE '<p>Total:%'")
+    number = {"total": "Total: ([0-9]+)", "successes": "Success: ([0-9]+)"}
+    return totals.select(
+        "job_id", *[F.regexp_extract("value", p, 1).cast("bigint").alias(c) for c, p in number.items()]
+    )
+
+
 @query
 def job_responses(spark, sf_dir):
     """Responses of finished event jobs that the owner of the even jobs keeps."""
@@ -266,7 +320,7 @@ def tagged_roundtrip(spark, sf_dir):
 def pos_tags(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     lexicon = materialize(tagstats.tag_lexicon(docs).where("n_tags > 1"), "lexicon")
-    return A.pos_tags(A.token_rows(docs, "doc_id"), lexicon, ["doc_id", "sent_idx", "pos"])
+    return A.pos_tags(A.token_rows(docs, "doc_id"), lexicon, ["doc_id", "sent_idx", "pos"], min_total=LEARNED_FROM)
 
 
 @query
@@ -286,6 +340,19 @@ def annotate_custom(spark, sf_dir):
     return rows.select("doc_id", "sent_idx", "value", "error")
 
 
+@query
+def annotate_plugged(spark, sf_dir):
+    """Bodies of constituency tasks by a plugged-in parser, under the built-in rules."""
+
+    def loader():
+        return lambda sentence: f"({len(sentence.split(' '))})"
+
+    A.register_annotator("COUNTS", loader)
+    fetched = materialize(_fetched(spark, sf_dir).where("method = 'CONSTITUENCY'"), "fetched")
+    done = A.annotate_with(fetched, {"CONSTITUENCY": "COUNTS"}, MAX_TOKENS)
+    return A.annotated_text(done).select("job_id", "line_no", "body")
+
+
 @query
 def tag_counts(spark, sf_dir):
     return tagstats.tag_counts(_documents(spark, sf_dir))
@@ -439,7 +506,7 @@ def bigram_counts(spark, sf_dir):
 @query
 def collocations(spark, sf_dir):
     counts = corpus.bigram_counts(_documents(spark, sf_dir), _stop(spark, sf_dir))
-    return corpus.collocations(materialize(counts, "bigrams"), TOP_COLLOCATIONS)
+    return corpus.collocations(materialize(counts, "bigrams"), TOP_COLLOCATIONS, min_count=LEAST_SEEN)
 
 
 @query
@@ -466,11 +533,13 @@ def path_similarity(spark, sf_dir):
 @query
 def threshold_sweep(spark, sf_dir):
     """How well the share of distinct words tells the labelled quality."""
-    scored = _documents(spark, sf_dir).select("doc_id", word_array(F.col("text")).alias("w"))
-    share = F.size(F.array_distinct("w")) / F.size("w")
-    scored = scored.select("doc_id", F.when(F.size("w") > 0, share).otherwise(0.0).alias("score"))
     labels = C.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return pairs.threshold_sweep(scored.join(labels, "doc_id"), THRESHOLDS)
+    # only labelled documents are cut into words
+    labelled = _documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id")
+    words = labelled.select("label", word_array(F.col("text")).alias("w"))
+    share = F.size(F.array_distinct("w")) / F.size("w")
+    scored = words.select("label", F.when(F.size("w") > 0, share).otherwise(0.0).alias("score"))
+    return pairs.threshold_sweep(scored, THRESHOLDS)
 
 
 # streams
@@ -482,10 +551,16 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.read_messages(spark, f"{sf_dir}/events.parque[t]", schema)
 
 
+def _once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First deliveries of a stream in which every seventh message comes twice."""
+    twice = C.redelivered(C.as_completions(_event_stream(spark, sf_dir)))
+    return live.first_deliveries(twice, "1 hour", *sink.fresh(spark, "stream-once"))
+
+
 @query
 def stream_completions(spark, sf_dir):
     table, checkpoint = sink.fresh(spark, "stream-counts")
-    counts = live.running_counts(C.as_completions(_event_stream(spark, sf_dir)))
+    counts = live.running_counts(_once(spark, sf_dir))
     sink.start_batches(counts, table, checkpoint, "update").awaitTermination()
     # counts only grow: the last word on a job is its largest
     return spark.read.parquet(table).groupBy("job_id").agg(F.max("done").alias("done"))
@@ -504,7 +579,9 @@ def stream_job_done(spark, sf_dir):
     table, checkpoint = sink.fresh(spark, "stream-done")
     twice = C.redelivered(C.as_completions(_event_stream(spark, sf_dir)))
     done = live.job_done_events(twice, _registry(spark, sf_dir), "1 hour")
-    sink.start_append(done, table, checkpoint).awaitTermination()
+    with sink.session_conf(spark, live.ONLY_DATA_BATCHES):
+        run = sink.start_append(done, table, checkpoint)
+    run.awaitTermination()
     return spark.read.schema("job_id long, total long").parquet(table)
 
 
@@ -529,7 +606,7 @@ def stream_route(spark, sf_dir):
 @query
 def stream_needed_workers(spark, sf_dir):
     table, checkpoint = sink.fresh(spark, "stream-workers")
-    counts = live.running_counts(C.as_completions(_event_stream(spark, sf_dir)))
+    counts = live.running_counts(_once(spark, sf_dir))
     step = live.workers_step(_registry(spark, sf_dir))
     sink.start_batches(counts, table, checkpoint, "complete", step).awaitTermination()
     # one row per batch: the last one is the state of things

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.strings import file_stem
+from textmill.storage import remove_partitions
 
 RESULT_NAMES = {
     "line_no": "lineNo",
@@ -25,7 +26,8 @@ def _without_last_newline(name: str) -> Column:
 def write_annotated(annotated: DataFrame, path: str, layout: str = "table") -> None:
     """Write bodies as a Parquet table, or as one text object per task.
 
-    Both are partitioned by job and method.  The key holds the line number, so
+    Both are partitioned by job and method, and only partitions in hand are
+    replaced; ``clear_jobs`` takes away what a job wrote before.  The key holds the line number, so
     two tasks on one file never overwrite each other.  The table's rows are
     rebalanced first, or every task would leave a small file in every job; big
     jobs are cut into several files.  An object per task is a directory per
@@ -39,7 +41,15 @@ def write_annotated(annotated: DataFrame, path: str, layout: str = "table") -> N
         return
     name = F.concat_ws("-", file_stem(F.col("url")), F.col("line_no").cast("string"))
     rows = annotated.select("job_id", "method", name.alias("file"), _without_last_newline("body").alias("body"))
-    rows.write.mode("overwrite").partitionBy("job_id", "method", "file").text(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "job_id", "method", "file"
+    ).text(path)
+
+
+def clear_jobs(jobs: DataFrame, *paths: str) -> None:
+    """Take away all that the jobs (``job_id``) have written below the paths."""
+    for path in paths:
+        remove_partitions(path, "job_id", jobs)
 
 
 def write_results(results: DataFrame, path: str) -> None:
@@ -55,12 +65,15 @@ def write_results(results: DataFrame, path: str) -> None:
 
 
 def write_summaries(parts: DataFrame, path: str) -> None:
-    """Write summary parts as text; a job's files in name order are its HTML."""
+    """Write summary parts as text; a job's files in name order are its HTML.
+
+    Only the jobs in hand are replaced.
+    """
     spark = parts.sparkSession
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = parts.repartitionByRange(count, "job_id", "part_no").sortWithinPartitions("job_id", "part_no")
     rows = rows.select("job_id", _without_last_newline("html").alias("html"))
-    rows.write.mode("overwrite").partitionBy("job_id").text(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_id").text(path)
 
 
 def write_messages(messages: DataFrame, path: str, body: str = "body") -> None:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions.strings import percent_decoded
+
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file below ``path``, read as UTF-8; the URL is the file's."""
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    return files.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("text"))
+    return files.select(percent_decoded(F.col("_metadata.file_path")).alias("url"), F.col("value").alias("text"))
 
 
 def body_stats(docs: DataFrame) -> DataFrame:

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textmill.functions.strings import trimmed
+from textmill.functions.strings import percent_decoded, trimmed
 from textmill.operators.skew import fits_broadcast
 from textmill.storage import materialize
 
 
 def _folder(path: str) -> Column:
-    return F.regexp_replace(F.regexp_extract(path, "([^/]*)/[^/]*$", 1), "^job_id=", "")
+    """The job a file belongs to; the name of a partition folder is escaped once more."""
+    folder = percent_decoded(F.regexp_extract(path, "([^/]*)/[^/]*$", 1))
+    value = F.regexp_extract(folder, "^job_id=(.*)$", 1)
+    return F.when(folder.startswith("job_id="), percent_decoded(value)).otherwise(folder)
 
 
 def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="textmill-"))
     return context.getCheckpointDir().rstrip("/")
@@ -43,3 +46,24 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_partitions(path: str, column: str, values: DataFrame) -> None:
+    """Delete the folders ``path/column=value`` for every value in ``values``.
+
+    A dynamic overwrite leaves the partitions that get no row, so a rerun clears its own first.
+    The folder names are listed on the driver, as for any partitioned table.
+    """
+    spark = values.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    root = folder(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return
+    names = [s.getPath().getName() for s in files.listStatus(root)]
+    held = [(unquote(n.partition("=")[2]), n) for n in names if n.startswith(f"{column}=")]
+    if not held:
+        return
+    wanted = values.select(F.col(column).cast("string").alias("value")).distinct()
+    for row in spark.createDataFrame(held, "value string, name string").join(wanted, "value", "left_semi").toLocalIterator():
+        files.delete(folder(f"{root.toString()}/{row['name']}"), True)

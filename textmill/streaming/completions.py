@@ -12,11 +12,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from textmill import constants as K
 from textmill.operators.progress import job_progress_from_counts, needed_workers
+from textmill.streaming.sink import start_append
 
-
-def running_counts(completions: DataFrame) -> DataFrame:
-    """Completions per job so far; counted in each task before the shuffle."""
-    return completions.groupBy("job_id").agg(F.count(F.lit(1)).alias("done"))
+KEEP_STATE_MS = 30 * 24 * 3600 * 1000
+#: State with an age limit asks for another batch again and again; a run over what has arrived must not.
+ONLY_DATA_BATCHES = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
 def stream_dedup(completions: DataFrame, delay: str) -> DataFrame:
@@ -29,16 +29,32 @@ def stream_dedup(completions: DataFrame, delay: str) -> DataFrame:
     return completions.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["msg_id"])
 
 
-def _fire_once() -> StatefulProcessor:
+def first_deliveries(completions: DataFrame, delay: str, table: str, checkpoint: str) -> DataFrame:
+    """Store the first delivery of each message in ``table`` and read it as a stream.
+
+    Counts that update cannot follow the dedup in one query, so they read its table.
+    """
+    once = stream_dedup(completions, delay)
+    start_append(once, table, checkpoint).awaitTermination()
+    return completions.sparkSession.readStream.schema(once.schema).parquet(table)
+
+
+def running_counts(once: DataFrame) -> DataFrame:
+    """Completions per job so far, from first deliveries; counted in each task before the shuffle."""
+    return once.groupBy("job_id").agg(F.count(F.lit(1)).alias("done"))
+
+
+def _fire_once(keep_ms: int) -> StatefulProcessor:
     """State per job: completions so far, and whether the job was announced.
 
-    The class is made here so that it travels to the workers by value.
+    The state of a job goes ``keep_ms`` after its last message.  The class is
+    made here so that it travels to the workers by value.
     """
 
     class FireOnce(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             schema = T.StructType([T.StructField("done", T.LongType()), T.StructField("fired", T.BooleanType())])
-            self._state = handle.getValueState("progress", schema)
+            self._state = handle.getValueState("progress", schema, ttlDurationMs=keep_ms)
 
         def handleInputRows(self, key, rows, timerValues):
             done, fired = tuple(self._state.get()) if self._state.exists() else (0, False)
@@ -57,12 +73,16 @@ def _fire_once() -> StatefulProcessor:
     return FireOnce()
 
 
-def job_done_events(completions: DataFrame, jobs: DataFrame, delay: str) -> DataFrame:
+def job_done_events(
+    completions: DataFrame, jobs: DataFrame, delay: str, keep_ms: int = KEEP_STATE_MS
+) -> DataFrame:
     """One row ``(job_id, total)`` when a registered job is done, only once.
 
     Messages are deduplicated by id, then each task counts per job what it
     holds, so the keyed state of a busy job receives one small row per task and
-    batch and keeps two values, however many messages the job has.
+    batch and keeps two values, however many messages the job has.  They are
+    forgotten ``keep_ms`` after the job's last message, which must be longer than
+    a job may pause and than ``delay``.
     """
     id_type = completions.schema["job_id"].dataType.simpleString()
 
@@ -77,10 +97,10 @@ def job_done_events(completions: DataFrame, jobs: DataFrame, delay: str) -> Data
     partial = once.mapInPandas(count_part, f"job_id {id_type}, k long")
     known = partial.join(jobs.select("job_id", "total"), "job_id")
     return known.groupBy("job_id").transformWithStateInPandas(
-        statefulProcessor=_fire_once(),
+        statefulProcessor=_fire_once(keep_ms),
         outputStructType=f"job_id {id_type}, total long",
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime",
     )
 
 

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from textmill.llm.common import row_slices, share, shared
 
 #: Words a worker remembers before it starts afresh.
-REMEMBER = 1_000_000
-_SLICE = 4 << 20
+REMEMBER = 300_000
+_SLICE = 2 << 20
 # White space as the vocabulary's own rules have it, and its word pattern.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+"

@@ -22,7 +22,11 @@ from textmill.storage import materialize
 
 ORDER = 2
 BACKOFF = 0.4
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
+#: Bytes that are hashed at a time.
+_SLICE = 1 << 20
+#: Words that are scored at a time.
+_WORDS = 200_000
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -42,7 +46,7 @@ def _block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(a, b - a)
             texts = [b"" if t is None else b" ".join(t.encode().split()) for t in part.column(1).to_pylist()]
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            packed = zstandard.compress(b"".join(texts), 1)
+            packed = zstandard.compress(b"".join(texts), 3)
             yield pa.record_batch(
                 [
                     pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
@@ -57,22 +61,22 @@ def _words(sizes: list[int], packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     """First word of each document of a block, and the hash of every word."""
     raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
     bounds = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64))))
-    start, end, first = row_words(raw, bounds)
-    return first, span_hashes(raw, start, end)
-
-
-def _distinct(first: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams of a block, their counts, and at each word the place of the n-gram that begins there (-1: none).
-
-    An n-gram lies in one document; its length is part of its hash.
-    """
+    firsts, hashes, met, a = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)], 0, 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + _SLICE, "right")) - 1)
+        part = raw[bounds[a] : bounds[b]]
+        start, end, first = row_words(part, bounds[a : b + 1] - bounds[a])
+        firsts.append(first[1:] + met)
+        hashes.append(span_hashes(part, start, end))
+        met, a = met + len(start), b
+    return np.concatenate(firsts), np.concatenate(hashes)
+
+
+def _grams(first: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words at which an n-gram begins that lies in one document, and its hash; its length is part of the hash."""
     room = np.repeat(first[1:], np.diff(first)) - np.arange(len(words))
     begins = np.flatnonzero(room >= n)
-    grams = mix(gram_hashes(words, n) + np.uint64(n))[begins]
-    keys, where, count = np.unique(grams, return_inverse=True, return_counts=True)
-    place = np.full(len(words), -1, np.int32)
-    place[begins] = where
-    return keys, count, place
+    return begins, mix(gram_hashes(words, n)[begins] + np.uint64(n))
 
 
 def _split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +94,7 @@ def _send(order: int, buckets: int):
                 block, sizes, packed = (c[row].as_py() for c in batch.columns)
                 first, words = _words(sizes, packed)
                 for n in range(1, order + 1):
-                    keys, count, _ = _distinct(first, words, n)
+                    keys, count = np.unique(_grams(first, words, n)[1], return_counts=True)
                     by, used, cut = _split(keys, buckets)
                     keys, count = keys[by], count[by]
                     parts = [slice(a, b) for a, b in zip(cut.tolist(), cut[1:].tolist())]
@@ -127,51 +131,67 @@ def _total(bucket: pa.Table) -> pa.Table:
     )
 
 
+def _scores(first: np.ndarray, places: list[np.ndarray], totals: list[np.ndarray], words_in_all: int, backoff: float):
+    """Sum of the words' logarithms per document.
+
+    ``first`` has the first word of each document, ``places`` per n-gram length the n-gram that
+    begins at each word (-1: none), ``totals`` the corpus's counts of those.
+    """
+    n, documents, order = len(places[0]), len(first) - 1, len(places)
+    doc = np.repeat(np.arange(documents), np.diff(first))
+    # counts without the document's own occurrences
+    others = []
+    for mine, total in zip(places, totals):
+        begins = np.flatnonzero(mine >= 0)
+        gram = mine[begins].astype(np.int64)
+        where, own = np.unique(doc[begins] * (len(total) + 1) + gram, return_inverse=True, return_counts=True)[1:]
+        left = np.zeros(n, np.int64)
+        left[begins] = total[gram] - own[where]
+        others.append(left)
+    rest = words_in_all - np.diff(first)[doc]
+    log, open_, at = np.zeros(n), np.ones(n, bool), np.arange(n)
+    top = np.minimum(order, at - first[doc] + 1)
+    for k in range(order, 0, -1):
+        begin = np.maximum(at - k + 1, 0)
+        fits = open_ & (top >= k)
+        count = np.where(fits, others[k - 1][begin], 0)
+        context = rest if k == 1 else others[k - 2][begin]
+        hit = fits & (count > 0)
+        log[hit] = np.log10(count[hit] / context[hit]) + (top - k)[hit] * np.log10(backoff)
+        open_ &= ~hit
+    # words that no other document has
+    log[open_] = (top - 1)[open_] * np.log10(backoff) - np.log10(rest[open_] + 1.0)
+    return np.bincount(doc, log, minlength=documents)
+
+
 def _score(order: int, buckets: int, words_in_all: int, backoff: float):
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, sizes, packed = (blocks[c].to_pylist()[0] for c in ("ids", "sizes", "packed"))
-        first, hashed = _words(sizes, packed)
-        n, documents = len(hashed), len(ids)
-        doc = np.repeat(np.arange(documents), np.diff(first))
-        told = {
-            (k, b): v
-            for k, b, v in zip(*(answers[c].to_pylist() for c in ("length", "bucket", "totals")))
-        }
-        # counts without the document's own occurrences
-        others = []
+        ids, sizes, packed = (blocks[c][0].as_py() for c in ("ids", "sizes", "packed"))
+        first, words = _words(sizes, packed)
+        told = {(k, b): v for k, b, v in zip(*(answers[c].to_pylist() for c in ("length", "bucket", "totals")))}
+        places, totals = [], []
         for k in range(1, order + 1):
-            keys, _, mine = _distinct(first, hashed, k)
+            begins, grams = _grams(first, words, k)
+            keys, mine = np.unique(grams, return_inverse=True)
+            place = np.full(len(words), -1, np.int32)
+            place[begins] = mine
             total = np.zeros(len(keys), np.int64)
             by, used, cut = _split(keys, buckets)
             for b, start, end in zip(used.tolist(), cut.tolist(), cut[1:].tolist()):
                 total[by[start:end]] = _numbers(told[k, b]).astype(np.int64)
-            has = mine >= 0
-            left = np.zeros(n, np.int64)
-            _, where, own = np.unique(doc[has] * (len(keys) + 1) + mine[has], return_inverse=True, return_counts=True)
-            left[has] = total[mine[has]] - own[where]
-            others.append(left)
-        rest = words_in_all - np.diff(first)[doc]
-        log = np.zeros(n)
-        open_ = np.ones(n, bool)
-        at = np.arange(n)
-        since = at - first[doc]
-        top = np.minimum(order, since + 1)
-        for k in range(order, 0, -1):
-            begin = at - k + 1
-            fits = open_ & (top >= k)
-            count = np.where(fits, others[k - 1][np.maximum(begin, 0)], 0)
-            context = rest if k == 1 else others[k - 2][np.maximum(begin, 0)]
-            hit = fits & (count > 0)
-            log[hit] = np.log10(count[hit] / context[hit]) + (top - k)[hit] * np.log10(backoff)
-            open_ &= ~hit
-        # words that no other document has
-        log[open_] = (top - 1)[open_] * np.log10(backoff) - np.log10(rest[open_] + 1.0)
-        sums = np.bincount(doc, log, minlength=documents)
+            places.append(place)
+            totals.append(total)
+        sums, a = [], 0
+        while a < len(ids):
+            b = max(a + 1, int(np.searchsorted(first, first[a] + _WORDS, "right")) - 1)
+            x = slice(first[a], first[b])
+            sums.append(_scores(first[a : b + 1] - first[a], [p[x] for p in places], totals, words_in_all, backoff))
+            a = b
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
                 "n_words": pa.array(np.diff(first), pa.int64()),
-                "log_score": pa.array(sums, pa.float64()),
+                "log_score": pa.array(np.concatenate(sums), pa.float64()),
             }
         )
 

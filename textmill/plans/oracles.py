@@ -448,6 +448,7 @@ scored AS (
 best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY llr DESC, w1, w2) AS rank FROM scored)
 SELECT lang, w1, w2, n, llr, CAST(rank AS INTEGER) AS rank FROM best WHERE rank <= 500""",
     "pair_scan": f"WITH {TEMPLATES} SELECT * FROM templates",
+    "pair_files": f"WITH {TEMPLATES} SELECT p, q, swapped, count(*) AS n FROM templates GROUP BY p, q, swapped",
     "pair_symmetry": f"""WITH {TEMPLATES},
 c AS (SELECT p, q, swapped, count(*) AS n FROM templates GROUP BY p, q, swapped)
 SELECT c.*, r.p IS NOT NULL AND NOT c.swapped AS reverse_as_is, r.p IS NOT NULL AS reverse_renamed

@@ -515,6 +515,14 @@ def pair_scan(spark, sf_dir):
     return parsed.drop("lhs", "rhs")
 
 
+@query
+def pair_files(spark, sf_dir):
+    """Template pairs written as a text file, read back and counted."""
+    path = scratch_path(spark, "pairs")
+    C.template_lines(spark, sf_dir).select("value").write.text(path)
+    return wordlists.read_pairs(spark, path).groupBy("p", "q", "swapped").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def pair_symmetry(spark, sf_dir):
     return pairs.pair_symmetry(wordlists.parse_pairs(C.template_lines(spark, sf_dir)))

@@ -121,6 +121,45 @@ def test_mixing_small_tables(make):
     assert set(Counter(r.doc_id for r in kept.collect()).values()) <= {1, 2}
 
 
+def due_by_hand(time, slope):
+    """The share of a source's demand that its schedule 1 + slope (2 t - 1) has dealt by a time."""
+    return (1 - slope) * time + slope * time * time
+
+
+def test_every_pass_follows_the_schedule(make, text):
+    rows = [(i, text(i, 1 + i % 37), ["a", "b", "c"][min(i % 10, 2)]) for i in range(300)]
+    docs, source = make(rows, clash=True), {i: s for i, _, s in rows}
+    slopes, repeated = {"a": -0.5, "b": 0.0, "c": 0.5}, set()
+    placed = {s: [] for s in slopes}
+    got = mix_sources(docs).collect()
+    for r in got:
+        left, s = r.taken, source[r.doc_id]
+        assert len(r.positions) == -(-r.taken // r.size) and r.positions[:1] == ([r.position] if r.taken else [])
+        assert len(set(r.positions)) == len(r.positions)
+        for time in r.positions:
+            placed[s].append((time, min(left, r.size), r.target))
+            left -= min(left, r.size)
+        if len(r.positions) == 2:
+            repeated.add(s)
+    assert repeated
+    for s, passes in placed.items():
+        met = 0
+        for time, words, target in sorted(passes):
+            assert abs(met - due_by_hand(time, slopes[s]) * target) < 1e-6
+            met += words
+        assert abs(met - passes[0][2]) < 1
+    # the pipeline's copies stand where their passes do, up to the documents that are rounded
+    of = {r.doc_id: r for r in got}
+    kept = [r.doc_id for r in keep_mixed(docs).collect()]
+    want = [(t, i) for i, r in of.items() for k, t in enumerate(r.positions) if 2 * (r.taken - k * r.size) >= r.size]
+    assert Counter(kept) == Counter(i for _, i in want)
+    times, seen = [], Counter()
+    for i in kept:
+        times.append(of[i].positions[seen[i]])
+        seen[i] += 1
+    assert times == sorted(times)
+
+
 # syncmers
 
 

@@ -2,8 +2,9 @@
 
 The target of a source is the integral of its weight schedule over training
 time.  Documents of a source are taken in a fixed shuffled order; the share of
-the target a document's words end at, sent through the inverse of the
-cumulative demand, is the time at which it is trained on.
+the target a document's words begin at, sent through the inverse of the
+cumulative demand, is the time at which it is trained on; every further pass over
+the source goes on from there, so each pass of a document has a time of its own.
 """
 
 from __future__ import annotations
@@ -75,29 +76,31 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, slopes
     """Decide how many words of each document the mix takes, and when.
 
     Returns one row per input row, range-sorted by training position: ``doc_id,
-    size, source_size, target, taken, position`` (``position`` null if nothing
-    is taken).  ``size`` counts words (null text: 0); a source's documents follow each
+    size, source_size, target, taken, position, positions`` (the time of the first
+    pass, null if nothing is taken, and of every pass that takes words).  ``size``
+    counts words (null text: 0); a source's documents follow each
     other by MD5 of the id, are passed at most ``most`` times, and the last one
     is taken in part, so that the taken words are the whole part of the
     target.  A null source is a source of its own and the last in order; rows
     repeated in all columns share the words due to them in any order; other
     columns are ignored.  An empty table gives an empty result, sizes of zero a target of 0.
     """
-    rows = _sized(docs, [])
-    return _placed(rows, weights, share, most, slopes).select(
-        "doc_id", "size", "source_size", "target", "taken", "position"
+    placed = _placed(_sized(docs, []), weights, share, most, slopes)
+    times = F.transform("passes", lambda p: p["time"])
+    return _in_order(placed.withColumn("position", F.get("passes", F.lit(0))["time"])).select(
+        "doc_id", "size", "source_size", "target", "taken", "position", times.alias("positions")
     )
 
 
 def keep_mixed(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, slopes=SLOPES) -> DataFrame:
     """The mix as whole documents with all columns of ``docs``, in training order.
 
-    A document is repeated once for each pass that takes at least half of its words.
+    A document is repeated once for each pass that takes at least half of its words, at the time of that pass.
     """
     placed = _placed(_sized(docs, [F.struct("*").alias("row")]), weights, share, most, slopes)
-    passes = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("size") > 0, passes).otherwise(0)))
-    return placed.select("row", "position", copies.alias("pass")).select("row.*")
+    whole = F.filter("passes", lambda p: p["words"] * 2 >= F.col("size"))
+    copies = placed.select("row", "ordinal", F.explode(whole).alias("pass"))
+    return _in_order(copies.select("row", "ordinal", F.col("pass.time").alias("position"))).select("row.*")
 
 
 def _sized(docs: DataFrame, more: list[Column]) -> DataFrame:
@@ -125,17 +128,16 @@ def _placed(rows: DataFrame, weights, share, most, slopes) -> DataFrame:
         .withColumn("begin", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     )
     due = F.floor(F.col("target"))
-    taken = sum(
-        (
-            F.least(F.greatest(due - F.col("begin") - F.col("source_size") * p, F.lit(0)), F.col("size"))
-            for p in range(most)
-        ),
-        F.lit(0),
-    )
-    position = training_time(F.least(F.col("begin") / F.col("target"), F.lit(1.0)), F.col("slope"))
-    placed = placed.withColumn("taken", taken.cast("bigint")).withColumn(
-        "position", F.when(F.col("taken") > 0, position)
-    )
-    return placed.repartitionByRange(partitions, F.asc_nulls_last("position"), "ordinal").sortWithinPartitions(
+    begins = [F.col("begin") + F.col("source_size") * p for p in range(most)]
+    words = [F.least(F.greatest(due - begin, F.lit(0)), F.col("size")).cast("bigint") for begin in begins]
+    times = [training_time(F.least(begin / F.col("target"), F.lit(1.0)), F.col("slope")) for begin in begins]
+    passes = [F.when(n > 0, F.struct(n.alias("words"), t.alias("time"))) for n, t in zip(words, times)]
+    return placed.withColumns({"taken": sum(words, F.lit(0)).cast("bigint"), "passes": F.array_compact(F.array(*passes))})
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Rows range-sorted by ``position``."""
+    partitions = shuffle_partitions(rows.sparkSession)
+    return rows.repartitionByRange(partitions, F.asc_nulls_last("position"), "ordinal").sortWithinPartitions(
         F.asc_nulls_last("position"), "ordinal"
     )

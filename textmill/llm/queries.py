@@ -60,7 +60,8 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(documents(spark, sf_dir))
+    # the SQL twin has the time of the first pass only
+    return mix_sources(documents(spark, sf_dir)).drop("positions")
 
 
 def op8_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

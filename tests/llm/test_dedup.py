@@ -1,5 +1,5 @@
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
@@ -104,6 +104,29 @@ def test_keep_near(make, odd):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted({r[2] for r in near_by_hand(odd)}, key=repr)
 
 
+def kept_by_hand(rows):
+    """Per component the ids and texts one of which has to stay: the smallest id's, or any if none has an id."""
+    prints = [simhash_by_hand(t) for _, t in rows]
+    groups = []
+    for i in range(len(rows)):
+        near = [g for g in groups if any((prints[i] ^ prints[j]).bit_count() <= 2 for j in g)]
+        groups = [g for g in groups if g not in near] + [sum(near, [i])]
+    out = []
+    for g in groups:
+        ids = [rows[i][0] for i in g if rows[i][0] is not None]
+        out.append({rows[i] for i in g if rows[i][0] == min(ids, default=None)})
+    return out
+
+
+def test_keep_near_of_every_component(make, odd, text):
+    rows = [*odd, *near_rows(text), *((5, text(20 + i, 50)) for i in range(9)), *((None, text(40 + i, 50)) for i in range(9))]
+    rows += [(None, text(40, 50)), (None, text(1, 60))]
+    want = kept_by_hand(rows)
+    for some in (rows, rows[::-1]):
+        kept = Counter((r.doc_id, r.text) for r in keep_near(make(some, clash=True)).collect())
+        assert sum(kept.values()) == len(want) and all(sum(kept[x] for x in group) == 1 for group in want)
+
+
 def test_near_empty(make):
     assert near_dedup(make([])).count() == 0
     assert keep_near(make([])).count() == 0

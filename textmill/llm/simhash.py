@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.components import components
@@ -52,16 +52,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > count, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every whole text."""
+def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The columns of ``rows`` with ``fp``, the fingerprint of every whole text, in place of ``text``, the last."""
+    others = rows.drop("text").dtypes
+    names = [*(name for name, _ in others), "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"])
+            values = [fingerprint(t.as_py(), shingle) for t in batch.column(batch.num_columns - 1)]
+            yield pa.record_batch([*batch.columns[:-1], pa.array(values, pa.int64())], names)
 
-    ids = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {ids}, fp bigint")
+    return rows.mapInArrow(run, ", ".join([*(f"{name} {kind}" for name, kind in others), "fp bigint"]))
 
 
 def masks(radius: int) -> list[int]:
@@ -94,29 +95,32 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     Null ids never name a component that has another id; repeated rows get equal rows, other
     columns are ignored, an empty table gives an empty result.
     """
-    marked, named = _components(docs, shingle, max_bits)
+    marked, named = _components(docs.select("doc_id", "text"), F.col("doc_id"), shingle, max_bits)
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_near(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest ``doc_id``.
 
-    All columns stay.  Of rows that repeat the id, the one with the smallest text hash stays.
+    All columns stay.  Rows that share the smallest id, or have none, are told apart by the hash of their text:
+    the smallest stays, and rows that repeat both are one.
     """
-    marked, named = _components(docs, shingle, max_bits)
-    winners = named.select("component_id").distinct()
-    ids = F.struct(F.col("doc_id").alias("id"))
-    rows = docs.select(F.struct("*").alias("row"), ids.alias("key"))
-    kept = winners.select(F.struct(F.col("component_id").alias("id")).alias("key"))
-    won = rows.join(kept, rows.key.eqNullSafe(kept.key), "left_semi")
-    twin = Window.partitionBy("key").orderBy(F.xxhash64("row.text"))
+    hashed = F.xxhash64("text").alias("hashed")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), hashed)
+    lowest = F.struct("unnamed", F.col("doc_id").alias("id"), "hashed")
+    marked = docs.select("doc_id", F.col("doc_id").isNull().alias("unnamed"), hashed, "text")
+    named = _components(marked, lowest, shingle, max_bits)[1]
+    winners = named.select(F.col("component_id").alias("key")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), first.alias("key"))
+    won = rows.join(winners, rows.key.eqNullSafe(winners.key), "left_semi")
+    twin = Window.partitionBy("key").orderBy(F.xxhash64("row"))
     return won.withColumn("twin", F.row_number().over(twin)).where("twin = 1").select("row.*")
 
 
-def _components(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """Documents with their fingerprint, and per fingerprint its ``component_id``."""
-    marked = materialize(fingerprints(docs, shingle), "simhash")
-    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "simhash-distinct")
+def _components(rows: DataFrame, name: Column, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their fingerprint, and per fingerprint its ``component_id``, the smallest ``name`` of its component."""
+    marked = materialize(fingerprints(rows, shingle), "simhash")
+    distinct = materialize(marked.groupBy("fp").agg(F.min(name).alias("lowest")), "simhash-distinct")
     roots = components(links(distinct.select("fp"), max_bits))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")

@@ -212,6 +212,32 @@ def test_syncmers_by_hand(spark, make, text):
     assert [a.position for a in row[1].a] == closed(chars, CHAR_K, CHAR_S, lambda x: h(*x))
 
 
+def test_fingerprints_have_every_anchor_and_its_place(make, text):
+    given = [text(3, 3000), "abcdefghij klm nop qrs tuv"]
+    docs = make(list(enumerate(given)))
+    want = {r.doc_id: r.a for r in docs.select("doc_id", anchors(F.col("text"), F.lit(False)).alias("a")).collect()}
+    for r in fingerprint_documents(docs).collect():
+        parts = r.fingerprint.split("/")
+        assert len(parts) == 1 + (r.n_chars <= 400)
+        at, got = 0, []
+        for k in range(0, len(parts[0]), 9):
+            at += int(parts[0][k], 16)
+            got.append((at, int(parts[0][k + 1 : k + 9], 16)))
+        assert got == [(a.position, (a.hash % (1 << 64)) >> 32) for a in want[r.doc_id]]
+
+
+def test_likeness_counts_every_anchor(make, text):
+    words = text(3, 8000).split()
+    other = [*words[:4000], *text(11, 60).split(), *words[4060:]]
+    moved = [*words[4000:], *words[:4000]]
+    for changed, low, high in ((other, 0.96, 0.9999), (moved, 0.98, 0.9999), (words, 1, 1)):
+        a, _ = fingerprint_documents(make([(1, " ".join(words)), (2, " ".join(changed))])).collect()
+        assert low <= a.near_next <= high
+    # equal anchors at other distances are not the same place
+    one, two = "a b c d e f g h " * 60, "h g f e d c b a " * 60
+    assert fingerprint_documents(make([(1, one), (2, two)])).first().near_next < 0.1
+
+
 # backoff scores
 
 

@@ -3,9 +3,11 @@
 A run of ``k`` units is a closed syncmer if the smallest of its inner runs of ``s`` units
 is the first or the last of them.  Whether it is one depends on its own units
 alone, so an edit elsewhere in the text neither adds nor removes it.  The
-fingerprint is a sketch of the syncmers: the smallest of their hashes.
+fingerprint has all syncmers with the steps between them.  Two texts are compared by
+all their syncmers, each with the step from the one before it.
 
-Units are words; texts of at most ``SHORT`` characters also give syncmers of characters.
+Units are words; texts of at most ``SHORT`` characters also give syncmers of characters,
+and if either of two texts is that short, both are compared by characters.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from textmill.operators.ordered import with_position
 WORD_K, WORD_S = 4, 1
 CHAR_K, CHAR_S = 8, 3
 SHORT = 400
-SKETCH = 64
 _KEY = ["did", "unnamed", "hashed"]
 
 
@@ -60,38 +61,77 @@ def syncmers(units: Column, k: int, s: int) -> Column:
     )
 
 
-def anchors(text: Column) -> Column:
-    """Syncmers of a text's words, and of its characters if it is short.
+def anchors(text: Column, short: Column | None = None) -> Column:
+    """Syncmers of a text's characters if ``short`` (by default: if the text is), else of its words.
 
     A text too short for any has itself as its only anchor; the empty text has none.
     """
     words = F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
     chars = F.transform(F.split(text, ""), lambda c: F.xxhash64(c))
-    of_words = syncmers(words, WORD_K, WORD_S)
-    found = F.when(
-        F.char_length(text) <= SHORT, F.concat(of_words, syncmers(chars, CHAR_K, CHAR_S))
-    ).otherwise(of_words)
+    short = is_short(F.char_length(text)) if short is None else short
+    found = F.when(short, syncmers(chars, CHAR_K, CHAR_S)).otherwise(syncmers(words, WORD_K, WORD_S))
     whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(text).alias("hash")))
     return _let(found, lambda f: F.when((F.size(f) > 0) | (F.length(text) == 0), f).otherwise(whole))
 
 
-def sketch(text: Column) -> Column:
-    """The ``SKETCH`` smallest of the anchors' hashes, cut to 32 bits."""
-    hashes = F.transform(anchors(text), lambda a: F.shiftrightunsigned(a["hash"], 32))
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+def is_short(*lengths: Column) -> Column:
+    """Whether a text of one of these lengths is compared by characters."""
+    return F.least(*lengths, F.lit(SHORT + 1)) <= SHORT
+
+
+def _step(placed: Column, i: Column, first: Column) -> Column:
+    """Units from the anchor before the ``i``-th to it; ``first`` for the first one."""
+    return F.when(i == 0, first).otherwise(placed[i]["position"] - F.get(placed, i - 1)["position"])
+
+
+def digests(placed: Column) -> Column:
+    """32 bits for each anchor and the step to it, without repeats."""
+    return _let(
+        placed,
+        lambda p: F.array_distinct(
+            F.transform(p, lambda a, i: F.shiftright(F.xxhash64(a["hash"], _step(p, i, F.lit(0))), 32).cast("int"))
+        ),
+    )
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The Jaccard likeness of two sketched texts: the share of the smallest
-    hashes of both that both have.  Two empty sketches are alike, an empty and another one are not."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(both, F.array_intersect(a, b)))
-    return F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(common / F.greatest(F.size(both), F.lit(1)))
+    """The Jaccard likeness of two texts by all their digests: the share of those of either that both
+    have.  Two empty texts are alike, an empty and another one are not."""
+    common = F.size(F.array_intersect(a, b))
+    return F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(
+        common / F.greatest(F.size(a) + F.size(b) - common, F.lit(1))
+    )
 
 
-def shown(sketched: Column) -> Column:
-    """A sketch as text, eight hex digits for each hash."""
-    return F.lower(F.array_join(F.transform(sketched, lambda x: F.lpad(F.hex(x), 8, "0")), ""))
+def _shown(placed: Column) -> Column:
+    """Nine hex digits for each anchor in text order: the step to it (from the start of the text to the first;
+    no step is over ``k``) and 32 bits of its hash."""
+    return _let(
+        placed,
+        lambda p: F.lower(
+            F.array_join(
+                F.transform(
+                    p,
+                    lambda a, i: F.concat(
+                        F.hex(_step(p, i, a["position"]).cast("bigint")),
+                        F.lpad(F.hex(F.shiftrightunsigned(a["hash"], 32)), 8, "0"),
+                    ),
+                ),
+                "",
+            )
+        ),
+    )
+
+
+def fingerprint(text: Column, words: Column) -> Column:
+    """All word anchors of a text as text; for a short text also ``/`` and its character anchors."""
+    short = F.concat(_shown(words), F.lit("/"), _shown(anchors(text, F.lit(True))))
+    return F.when(F.length(text) == 0, "").when(is_short(F.char_length(text)), short).otherwise(_shown(words))
+
+
+def compared(text: Column, words: Column, short: Column) -> Column:
+    """Digests of a text of these word anchors, or of its characters if one of the two compared texts is ``short``."""
+    return digests(F.when(short, anchors(text, F.lit(True))).otherwise(words))
 
 
 def neighbours(keyed: DataFrame) -> tuple[DataFrame, bool]:
@@ -129,30 +169,31 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         "text",
     )
     links, repeats = neighbours(keyed)
-    body = keyed.withColumn("sketch", sketch(F.col("text")))
     taken = F.floor(F.col("before_n_chars") / 4).cast("int")
-    sent = body.join(links.hint("merge"), _KEY).select(
+    sent = keyed.join(links.hint("merge"), _KEY).select(
         *[F.col(f"before_{c}").alias(c) for c in _KEY],
         F.substr(F.col("text"), F.lit(1), taken).alias("head"),
-        F.col("sketch").alias("next_sketch"),
+        digests(anchors(F.col("text"), is_short(F.col("n_chars"), F.col("before_n_chars")))).alias("next_digests"),
         F.col("doc_id").alias("next_id"),
         F.col("n_chars").alias("next_n_chars"),
     )
     if repeats:
         sent = sent.dropDuplicates(_KEY)
     kept = F.substr(F.col("text"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
-    edited = body.join(sent.hint("merge"), _KEY).select(
-        "doc_id", "n_chars", "sketch", "next_sketch", "next_id", "next_n_chars", F.concat(kept, "head").alias("edited")
-    )
-    both = edited.withColumn("edited_sketch", sketch(F.col("edited")))
-    return both.select(
+    both = keyed.join(sent.hint("merge"), _KEY).withColumn("edited", F.concat(kept, "head"))
+
+    placed = both.withColumns({f"{c}_words": anchors(F.col(c), F.lit(False)) for c in ("text", "edited")})
+    with_edited = is_short(F.col("n_chars"), F.char_length("edited"))
+    with_next = is_short(F.col("n_chars"), F.col("next_n_chars"))
+    of = {c: (F.col(c), F.col(f"{c}_words")) for c in ("text", "edited")}
+    return placed.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        shown(F.col("sketch")).alias("fingerprint"),
-        shown(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprint(*of["text"]).alias("fingerprint"),
+        fingerprint(*of["edited"]).alias("edited_fingerprint"),
+        likeness(compared(*of["text"], with_edited), compared(*of["edited"], with_edited)).alias("near_edited"),
+        likeness(compared(*of["text"], with_next), F.col("next_digests")).alias("near_next"),
         "next_id",
         "next_n_chars",
     )

@@ -238,6 +238,15 @@ def test_likeness_counts_every_anchor(make, text):
     assert fingerprint_documents(make([(1, one), (2, two)])).first().near_next < 0.1
 
 
+def test_likeness_does_not_jump_at_the_length_of_short_texts(make, text):
+    for cut in (380, 399, 400, 401, 420):
+        whole = text(6, 200)[:cut]
+        got = {r.doc_id: r for r in fingerprint_documents(make([(1, whole), (2, text(7, 200)[:50])])).collect()}
+        assert 0.5 < got[1].near_edited < 0.85
+    got = fingerprint_documents(make([(1, text(6, 200)[:395]), (2, text(6, 200)[:405])])).collect()
+    assert min(r.near_next for r in got) > 0.9
+
+
 # backoff scores
 
 

@@ -64,3 +64,38 @@ SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(x, 0), 4) AS log_score,
   CASE WHEN len(w) > 0 THEN round(coalesce(x, 0) / len(w), 4) END AS mean_log_score
 FROM d LEFT JOIN x USING (doc_id)
 """
+
+#: CRC-32 byte by byte with a table made by its rule; each feature is hashed once.
+RESAMPLE = f"""
+WITH crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+w AS (
+  SELECT 'd' AS side, doc_id, regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+  UNION ALL SELECT 'b', item_id, regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') FROM benchmark),
+g AS (
+  SELECT side, doc_id, unnest(flatten([list_transform(range(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k], ' '))
+    FOR k IN [0, 1, 2]])) AS f FROM w),
+n AS (SELECT side, doc_id, f, count(*) AS n FROM g GROUP BY ALL),
+h AS (
+  SELECT f, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(len(hex(f)) // 2), lambda i: ('0x' || hex(f)[2 * i + 1:2 * i + 2])::BIGINT)),
+    lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM n), crc),
+c AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t
+  FROM n JOIN h USING (f) GROUP BY bucket),
+a AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM c),
+i AS (SELECT bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM c, a),
+x AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM n JOIN h USING (f) JOIN i USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+r AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    floor(-1000 * ln(-ln((('0x' || sha256('42:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+  FROM w LEFT JOIN x USING (doc_id) WHERE side = 'd'),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id) AS place FROM r)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+  CASE WHEN n_words >= 20 AND place <= 5 * (SELECT count(*) FROM r WHERE n_words >= 20) // 100 THEN place END AS rank
+FROM o
+"""

@@ -15,6 +15,7 @@ from textmill.llm.exact import exact_dedup
 from textmill.llm.lm import backoff_scores
 from textmill.llm.mixing import mix_sources
 from textmill.llm.quality import quality_scores
+from textmill.llm.resample import resample
 from textmill.llm.simhash import near_dedup
 from textmill.llm.syncmers import fingerprint_documents
 from textmill.llm.toxicity import toxicity_scores
@@ -73,6 +74,11 @@ def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(documents(spark, sf_dir))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -86,6 +92,7 @@ REGISTRY: dict[str, Query] = {
         op8_backoff_scores,
         op9_syncmer_fingerprints,
         op10_suffix_dedup,
+        op13_importance_resampling,
     )
 }
 
@@ -93,4 +100,5 @@ ORACLES: dict[str, str] = {
     "op2_exact_dedup": oracles.EXACT,
     "op7_source_mixing": oracles.MIX,
     "op8_backoff_scores": oracles.BACKOFF,
+    "op13_importance_resampling": oracles.RESAMPLE,
 }

@@ -19,6 +19,7 @@ from textmill.llm.resample import resample
 from textmill.llm.simhash import near_dedup
 from textmill.llm.syncmers import fingerprint_documents
 from textmill.llm.toxicity import toxicity_scores
+from textmill.llm.whitening import whiten_embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
 BPE_VOCABULARY = "word_bpe_49k.json"
@@ -74,6 +75,10 @@ def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(documents(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"), most=4)
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -92,6 +97,7 @@ REGISTRY: dict[str, Query] = {
         op8_backoff_scores,
         op9_syncmer_fingerprints,
         op10_suffix_dedup,
+        op11_embedding_whitening,
         op13_importance_resampling,
     )
 }

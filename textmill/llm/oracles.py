@@ -99,3 +99,22 @@ SELECT doc_id, n_features, weight, weight + noise AS score,
   CASE WHEN n_words >= 20 AND place <= 5 * (SELECT count(*) FROM r WHERE n_words >= 20) // 100 THEN place END AS rank
 FROM o
 """
+
+#: Equal sets are one class; classes that share a shingle are compared by what they share.
+JACCARD = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(LOWER)} AS w FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+    lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM w WHERE len(w) > 0),
+c AS (SELECT s, min(doc_id) AS c, len(s) AS n FROM s GROUP BY s),
+g AS (SELECT c, n, unnest(s) AS f FROM c),
+p AS (
+  SELECT a.c AS a, b.c AS b, count(*) AS k, any_value(a.n) AS n, any_value(b.n) AS m
+  FROM g a JOIN g b ON a.f = b.f AND a.c < b.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY a.c, b.c),
+l AS MATERIALIZED (
+  SELECT a, b FROM p WHERE 100 * k >= 80 * (n + m - k) UNION ALL SELECT b, a FROM p WHERE 100 * k >= 80 * (n + m - k)),
+r AS (SELECT c AS a, c AS b FROM c UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+k AS (SELECT a AS c, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN c ON c.s = s.s LEFT JOIN k USING (c)
+"""

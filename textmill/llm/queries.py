@@ -12,6 +12,7 @@ from textmill.llm import oracles, substring, suffix
 from textmill.llm.bpe import encode_decode
 from textmill.llm.common import documents, table
 from textmill.llm.exact import exact_dedup
+from textmill.llm.jaccard import jaccard_join
 from textmill.llm.lm import backoff_scores
 from textmill.llm.mixing import mix_sources
 from textmill.llm.quality import quality_scores
@@ -79,6 +80,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten_embeddings(table(spark, sf_dir, "embeddings"), most=4)
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(documents(spark, sf_dir))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -98,6 +103,7 @@ REGISTRY: dict[str, Query] = {
         op9_syncmer_fingerprints,
         op10_suffix_dedup,
         op11_embedding_whitening,
+        op12_jaccard_join,
         op13_importance_resampling,
     )
 }
@@ -106,5 +112,6 @@ ORACLES: dict[str, str] = {
     "op2_exact_dedup": oracles.EXACT,
     "op7_source_mixing": oracles.MIX,
     "op8_backoff_scores": oracles.BACKOFF,
+    "op12_jaccard_join": oracles.JACCARD,
     "op13_importance_resampling": oracles.RESAMPLE,
 }

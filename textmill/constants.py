@@ -83,6 +83,15 @@ SUFFIX_TAGS = (
     ("s", "NNS"),
 )
 
+# Our own choice: what an open-class word may be besides the tag its form tells.
+ALSO_TAGS = {
+    "NN": ("VB", "JJ"),
+    "NNS": ("VBZ",),
+    "VBG": ("NN",),
+    "VBD": ("VBN", "JJ"),
+    "RB": ("JJ",),
+}
+
 # Our own choice: relation of a token to its head, by tag, in shallow parses.
 SHALLOW_RELATIONS = {
     "DT": "det",

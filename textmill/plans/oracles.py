@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from textmill import constants as K
+from textmill.operators.viterbi import CANDIDATES, CLASSES, END, MAX_DECODED, START, TAGS
 
 # pieces used by several statements
 
@@ -113,6 +114,89 @@ def _edges(keys: str) -> str:
     return f"SELECT {keys}, sent_idx, pos, {line} AS edge FROM tagged WINDOW w AS (PARTITION BY {keys}, sent_idx ORDER BY pos)"
 
 
+def _viterbi() -> str:
+    """Tags by context: pair scores from the tags by form, one decoding, scores again from it, and the decoding asked for.
+
+    One row for each token of a sentence so far: the best score and path (the numbers of its candidates) to each candidate.
+    """
+    candidates = ", ".join(f"('{c}', {j}, '{t}', {len(ts)})" for c, ts in CANDIDATES.items() for j, t in enumerate(ts))
+    tags = ", ".join(f"('{t}')" for t in TAGS)
+
+    def pairs(rows: str) -> str:
+        return f"""SELECT a, b, count(*) AS n FROM (
+    SELECT CASE WHEN pos = 0 THEN '{START}' ELSE lag(tag) OVER w END AS a, tag AS b FROM {rows}
+    WINDOW w AS (PARTITION BY doc_id, sent_idx ORDER BY pos)
+    UNION ALL SELECT tag, '{END}' FROM {rows} WHERE pos = size - 1) GROUP BY a, b"""
+
+    def steps(rows: str) -> str:
+        return f"""SELECT x.tag AS a, y.tag AS b,
+    floor(1000 * ln((coalesce(n, 0) + 1.0::DOUBLE) / (coalesce(whole, 0) + {len(TAGS)})))::BIGINT AS s
+  FROM tags x CROSS JOIN tags y LEFT JOIN {rows} p ON p.a = x.tag AND p.b = y.tag
+    LEFT JOIN (SELECT a, sum(n) AS whole FROM {rows} GROUP BY a) t ON t.a = x.tag"""
+
+    width = range(max(map(len, CANDIDATES.values())))
+
+    def best(j: int, name: str) -> str:
+        """The path to candidate ``j``: of equally good ones over the earlier candidate."""
+        cases = " ".join(f"WHEN s{i} + {name}[{4 * i + j + 1}] = n{j} THEN p{i}" for i in width)
+        return f"CASE {cases} END || '{j}' AS p{j}"
+
+    def paths(name: str, step: str, form: str) -> str:
+        reach = ", ".join(f"greatest({', '.join(f's{i} + t[{4 * i + j + 1}]' for i in width)}) AS n{j}" for j in width)
+        return f"""{name}_edge AS MATERIALIZED (
+  SELECT x.kind AS k1, y.kind AS k2, list(p.s + f.s ORDER BY x.j, y.j) AS t
+  FROM full_cand x CROSS JOIN full_cand y LEFT JOIN {step} p ON p.a = x.tag AND p.b = y.tag
+    LEFT JOIN {form} f ON f.kind = y.kind AND f.tag = y.tag GROUP BY x.kind, y.kind),
+{name}_first AS MATERIALIZED (
+  SELECT c.kind, list(p.s + f.s ORDER BY c.j) AS t
+  FROM full_cand c LEFT JOIN {step} p ON p.a = '{START}' AND p.b = c.tag LEFT JOIN {form} f ON f.kind = c.kind AND f.tag = c.tag
+  GROUP BY c.kind),
+{name}_last AS MATERIALIZED (
+  SELECT c.kind, list(p.s ORDER BY c.j) AS t FROM full_cand c LEFT JOIN {step} p ON p.a = c.tag AND p.b = '{END}' GROUP BY c.kind),
+{name}_v AS (
+  SELECT doc_id, sent_idx, 1 AS step, ks, {', '.join(f't[{j + 1}] AS s{j}' for j in width)}, {', '.join(f"'{j}' AS p{j}" for j in width)}
+  FROM lines JOIN {name}_first ON kind = ks[1]
+  UNION ALL
+  SELECT doc_id, sent_idx, step, ks, {', '.join(f'n{j}' for j in width)}, {', '.join(best(j, 't') for j in width)}
+  FROM (
+    SELECT doc_id, sent_idx, step + 1 AS step, ks, t, {', '.join(f's{i}, p{i}' for i in width)}, {reach}
+    FROM {name}_v JOIN {name}_edge ON k1 = ks[step] AND k2 = ks[step + 1] WHERE step < len(ks))),
+{name}_best AS MATERIALIZED (
+  SELECT doc_id, sent_idx, CASE {' '.join(f'WHEN s{j} + t[{j + 1}] = n THEN p{j}' for j in width)} END AS path
+  FROM (SELECT *, greatest({', '.join(f's{j} + t[{j + 1}]' for j in width)}) AS n
+    FROM {name}_v JOIN {name}_last ON kind = ks[step] WHERE step = len(ks))),
+{name} AS MATERIALIZED (
+  SELECT k.doc_id, k.sent_idx, k.pos, k.size, k.tok, k.kind, c.tag
+  FROM kinds k LEFT JOIN {name}_best b USING (doc_id, sent_idx)
+    JOIN cand c ON c.kind = k.kind AND c.j = coalesce(path[k.pos + 1]::INTEGER, 0))"""
+
+    return f"""WITH RECURSIVE {TOKEN_ROWS},
+cand(kind, j, tag, n) AS (VALUES {candidates}),
+tags(tag) AS (VALUES {tags}),
+kinds AS MATERIALIZED (
+  SELECT doc_id, sent_idx, pos, size, tok, CASE WHEN tag = 'NNP' THEN 'NNP/' || {_tag('lower(tok)')} ELSE tag END AS kind, tag
+  FROM tagged),
+lines AS MATERIALIZED (
+  SELECT doc_id, sent_idx, list(kind ORDER BY pos) AS ks FROM kinds WHERE size <= {MAX_DECODED} GROUP BY doc_id, sent_idx),
+full_cand AS (
+  SELECT kind, j, tag FROM (SELECT DISTINCT kind FROM cand) CROSS JOIN (SELECT unnest(range({len(width)})) AS j) LEFT JOIN cand USING (kind, j)),
+pairs0 AS MATERIALIZED ({pairs('kinds')}),
+step0 AS MATERIALIZED ({steps('pairs0')}),
+form0 AS MATERIALIZED (
+  SELECT kind, c.tag, floor(1000 * ln((c.n - j) / (coalesce(whole, 0) + 1.0::DOUBLE)))::BIGINT AS s
+  FROM cand c LEFT JOIN (SELECT a, sum(n) AS whole FROM pairs0 GROUP BY a) t ON t.a = c.tag),
+{paths('first', 'step0', 'form0')},
+pairs1 AS MATERIALIZED ({pairs('first')}),
+step1 AS MATERIALIZED ({steps('pairs1')}),
+seen AS MATERIALIZED (SELECT kind, tag, count(*) AS n FROM first GROUP BY kind, tag),
+form1 AS MATERIALIZED (
+  SELECT c.kind, c.tag, floor(1000 * ln((coalesce(s.n, 0) + 1.0::DOUBLE) / (coalesce(whole, 0) + {len(CLASSES)})))::BIGINT AS s
+  FROM cand c LEFT JOIN seen s ON s.kind = c.kind AND s.tag = c.tag
+    LEFT JOIN (SELECT tag, sum(n) AS whole FROM seen GROUP BY tag) t ON t.tag = c.tag),
+{paths('second', 'step1', 'form1')}
+SELECT doc_id, CAST(sent_idx AS INTEGER) AS sent_idx, CAST(pos AS INTEGER) AS pos, tok, tag FROM second"""
+
+
 COMPLETIONS = """completions AS (
   SELECT event_id AS msg_id, user_id AS job_id, event_type <> 'error' AS success, ts FROM events),
 redelivered AS (SELECT * FROM completions UNION ALL SELECT * FROM completions WHERE msg_id % 7 = 0),
@@ -322,6 +406,7 @@ FROM ok f LEFT JOIN bodies b ON f.line_no = b.line_no""",
     "tagged_roundtrip": f"""WITH {FETCHED_TAGGED}
 SELECT f.job_id, f.line_no, CAST(t.sent_idx AS INTEGER) AS sent_idx, CAST(t.pos AS INTEGER) AS pos, t.tok, t.tag
 FROM ok f JOIN tagged t ON f.line_no = t.line_no WHERE f.method = 'POS'""",
+    "pos_viterbi": _viterbi(),
     "pos_tags": f"""WITH {TOKEN_ROWS},
 counts AS (SELECT lower(tok) AS w, tag, count(*) AS n FROM tagged GROUP BY 1, 2),
 lexicon AS (
@@ -450,9 +535,14 @@ SELECT lang, w1, w2, n, llr, CAST(rank AS INTEGER) AS rank FROM best WHERE rank
     "pair_scan": f"WITH {TEMPLATES} SELECT * FROM templates",
     "pair_files": f"WITH {TEMPLATES} SELECT p, q, swapped, count(*) AS n FROM templates GROUP BY p, q, swapped",
     "pair_symmetry": f"""WITH {TEMPLATES},
-c AS (SELECT p, q, swapped, count(*) AS n FROM templates GROUP BY p, q, swapped)
-SELECT c.*, r.p IS NOT NULL AND NOT c.swapped AS reverse_as_is, r.p IS NOT NULL AS reverse_renamed
-FROM c LEFT JOIN c r ON r.p = c.q AND r.q = c.p AND r.swapped = c.swapped""",
+c AS (
+  SELECT least(p, q) AS a, greatest(p, q) AS b, swapped, count(*) FILTER (p <= q) AS there, count(*) FILTER (p > q) AS back
+  FROM templates GROUP BY 1, 2, 3),
+r AS (SELECT *, there > 0 AND (back > 0 OR a = b) AS both_ways FROM c),
+d AS (
+  SELECT a AS p, b AS q, swapped, there AS n, both_ways FROM r UNION ALL
+  SELECT b, a, swapped, back, both_ways FROM r)
+SELECT p, q, swapped, n, both_ways AND NOT swapped AS reverse_as_is, both_ways AS reverse_renamed FROM d WHERE n > 0""",
     "path_similarity": f"""WITH {STOP}, {ALL_BIGRAMS},
 given AS (
   SELECT a.lang, a.w AS p, b.w AS q FROM stop a JOIN stop b ON a.lang = b.lang AND b.rank = a.rank + 1),

@@ -183,7 +183,7 @@ full_cand AS (
 pairs0 AS MATERIALIZED ({pairs('kinds')}),
 step0 AS MATERIALIZED ({steps('pairs0')}),
 form0 AS MATERIALIZED (
-  SELECT kind, c.tag, floor(1000 * ln((c.n - j) / (coalesce(whole, 0) + 1.0::DOUBLE)))::BIGINT AS s
+  SELECT kind, c.tag, floor(1000 * ln((c.n - j) / (coalesce(whole, 0) + (SELECT sum(n) FROM pairs0) // {len(TAGS)} + 1)::DOUBLE))::BIGINT AS s
   FROM cand c LEFT JOIN (SELECT a, sum(n) AS whole FROM pairs0 GROUP BY a) t ON t.a = c.tag),
 {paths('first', 'step0', 'form0')},
 pairs1 AS MATERIALIZED ({pairs('first')}),

@@ -106,3 +106,34 @@ SHALLOW_RELATIONS = {
     "CD": "nummod",
     "PUNCT": "punct",
 }
+
+# Our own choice: the kinds of leaves that the grammar sees instead of tags; other tags are of kind "O".
+LEAF_KINDS = {
+    "N": ("NN", "NNS", "NNP", "PRP", "CD", "EX", "WP"),
+    "D": ("DT", "PRP$", "WDT"),
+    "J": ("JJ", "JJS"),
+    "V": ("VB", "VBZ", "VBP", "VBD", "VBG", "VBN", "MD"),
+    "P": ("IN", "TO"),
+    "R": ("RB", "WRB"),
+    "C": ("CC",),
+    "O": (),
+}
+
+# Our own choice: phrase labels, the first one preferred for a whole sentence.
+PHRASES = ("S", "NP", "VP", "PP", "X")
+
+# Our own choice: rules that the grammar believes in before it has seen text.
+SEED_RULES = (
+    ("S", "NP", "VP"), ("S", "S", "O"), ("S", "VP", "O"), ("S", "X", "S"),
+    ("NP", "D", "N"), ("NP", "D", "NP"), ("NP", "J", "N"), ("NP", "J", "NP"), ("NP", "N", "N"), ("NP", "N", "NP"),
+    ("NP", "NP", "PP"), ("NP", "NP", "X"),
+    ("VP", "V", "NP"), ("VP", "V", "PP"), ("VP", "V", "VP"), ("VP", "VP", "PP"), ("VP", "R", "VP"), ("VP", "VP", "R"),
+    ("PP", "P", "NP"), ("PP", "P", "N"),
+    ("X", "C", "NP"), ("X", "C", "VP"), ("X", "C", "S"), ("X", "O", "NP"), ("X", "PP", "O"), ("X", "NP", "O"),
+)
+
+# Our own choice: phrases of a single leaf.
+SEED_UNARY = (("NP", "N"), ("VP", "V"))
+
+# Our own choice: how readily a kind of leaf heads another one; the higher kind heads the lower.
+HEAD_RANK = {"V": 7, "N": 6, "P": 5, "J": 4, "R": 3, "D": 2, "C": 1, "O": 0}

@@ -12,7 +12,7 @@ from textmill.functions import strings as S
 from textmill.functions.strings import percent_decoded
 from textmill.functions.text import word_array
 from textmill.operators import annotate as A
-from textmill.operators import corpus, fetch, pairs, progress, results, sessions, summary, tagstats, tasks, viterbi
+from textmill.operators import cky, corpus, eisner, fetch, pairs, progress, results, sessions, summary, tagstats, tasks, viterbi
 from textmill.operators.skew import spread
 from textmill.plans import carriers as C
 from textmill.plans.job import run_job
@@ -329,6 +329,20 @@ def pos_viterbi(spark, sf_dir):
     return viterbi.context_tags(docs, viterbi.learn_tagger(docs), "doc_id")
 
 
+@query
+def constituency_cky(spark, sf_dir):
+    """Trees of all sentences by a grammar learned from them; no SQL: tests enumerate all trees."""
+    sentences = materialize(cky.tagged_sentences(_documents(spark, sf_dir), "doc_id"), "tagged")
+    return cky.constituency_trees(sentences, cky.learn_grammar(sentences, 2, MAX_TOKENS), MAX_TOKENS)
+
+
+@query
+def dependency_mst(spark, sf_dir):
+    """Best projective trees over learned scores; no SQL: tests try all trees of short sentences."""
+    parsed = eisner.dependency_trees(cky.tagged_sentences(_documents(spark, sf_dir), "doc_id"), max_tokens=MAX_TOKENS)
+    return parsed.select("doc_id", "sent_idx", "deps")
+
+
 @query
 def annotate_custom(spark, sf_dir):
     """Words between blanks by a Python annotator that refuses digits."""

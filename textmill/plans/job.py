@@ -7,8 +7,10 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill import constants as K
-from textmill.functions.text import tagged_array
+from textmill.functions.text import sentence_array, tagged_array
 from textmill.operators.annotate import annotate, annotate_with, annotated_text
+from textmill.operators.boundaries import Boundaries
+from textmill.operators.boundaries import sentence_array as learned_cut
 from textmill.operators.fetch import fetch
 from textmill.operators.results import result_rows
 from textmill.operators.summary import summary_parts, summary_stats
@@ -30,6 +32,7 @@ def run_job(
     visibility_s: int | None = None,
     jobs: DataFrame | None = None,
     tagger: Tagger | None = None,
+    ends: Boundaries | None = None,
 ) -> DataFrame:
     """Process all manifests below ``manifest_path`` against ``docs(url, text)``.
 
@@ -40,20 +43,22 @@ def run_job(
     ``visibility_s`` bounds the time they take for a task.  ``jobs(job_id)`` are
     the jobs that get a summary; without it, those whose manifest has a line
     (Spark does not see empty files).  ``tagger`` (of ``viterbi.learn_tagger``) tags by
-    context instead of by form.
+    context instead of by form, ``ends`` (of ``boundaries.learn_boundaries``) cuts sentences with the
+    abbreviations that were learned.
     """
     tag_tokens = partial(tagged_by_context, tagger=tagger) if tagger else tagged_array
+    cut_text = partial(learned_cut, model=ends) if ends else sentence_array
     lines = read_manifest_lines(spark, manifest_path)
     tasks = materialize(parse_manifest(lines), "tasks")
     fetched = fetch(tasks, docs)
     if annotators:
         # errors come up while annotating: store that, as both outputs need it
         budget = max(K.MIN_BUDGET_S, visibility_s - K.VISIBILITY_MARGIN_S) if visibility_s else None
-        annotated = annotate_with(materialize(fetched, "fetched"), annotators, max_tokens, budget, tag_tokens)
+        annotated = annotate_with(materialize(fetched, "fetched"), annotators, max_tokens, budget, tag_tokens, cut_text)
         outcomes = annotated = materialize(annotated, "annotated")
     else:
         # built-in annotators do not fail: outcomes need the URLs, not the text
-        annotated, outcomes = annotate(fetched, max_tokens, tag_tokens), fetched
+        annotated, outcomes = annotate(fetched, max_tokens, tag_tokens, cut_text), fetched
     jobs = materialize((jobs if jobs is not None else lines).select("job_id").distinct(), "jobs")
     in_hand = jobs.union(lines.select("job_id")).distinct()
     clear_jobs(in_hand, f"{out}/annotated", f"{out}/results", f"{out}/summary")

@@ -406,6 +406,48 @@ FROM ok f LEFT JOIN bodies b ON f.line_no = b.line_no""",
     "tagged_roundtrip": f"""WITH {FETCHED_TAGGED}
 SELECT f.job_id, f.line_no, CAST(t.sent_idx AS INTEGER) AS sent_idx, CAST(t.pos AS INTEGER) AS pos, t.tok, t.tag
 FROM ok f JOIN tagged t ON f.line_no = t.line_no WHERE f.method = 'POS'""",
+    "sentences_learned": r"""WITH pieces AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\t\n\x0b\x0c\r ]+') AS ps FROM documents),
+bare AS (
+  SELECT doc_id, i, ps[i] AS piece, regexp_replace(ps[i], '^[^\p{L}\p{N}]+', '') AS b, len(ps) AS size
+  FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM pieces)),
+x AS MATERIALIZED (
+  SELECT doc_id, i, piece, size, lower(regexp_replace(b, '[^\p{L}\p{N}]+$', '')) AS word,
+    regexp_extract(piece, '([.!?]+)["'')\]»”’]*$', 1) AS marks, b[1] <> lower(b[1]) AS capital, b[1] <> upper(b[1]) AS small
+  FROM bare),
+counts AS (
+  SELECT word, count(*)::DOUBLE AS n, count(*) FILTER (marks = '.') AS k FROM x
+  WHERE regexp_matches(word, '^\p{L}+(\.\p{L}+)*$') GROUP BY word),
+whole AS (SELECT sum(k) / sum(n) AS p FROM counts),
+short AS (
+  SELECT word, (k * ln(0.99::DOUBLE / p) + (n - k) * ln((1 - 0.99::DOUBLE) / (1 - p)))
+    * exp(-length(replace(word, '.', ''))::DOUBLE) * (length(word) - length(replace(word, '.', '')) + 1) AS score
+  FROM counts, whole WHERE k > 0 AND p > 0 AND p < 1),
+abbreviations AS MATERIALIZED (SELECT word FROM short WHERE score >= 0.3 ORDER BY score DESC, word LIMIT 10000),
+y AS MATERIALIZED (
+  SELECT *, word IN (SELECT word FROM abbreviations) AS short, lead(word) OVER w AS next_word, lead(capital) OVER w AS next_capital,
+    lead(small) OVER w AS next_small FROM x WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+first AS (
+  SELECT *, CASE WHEN marks = '' THEN false WHEN contains(marks, '!') OR contains(marks, '?') THEN true
+    WHEN marks <> '.' THEN NOT next_small WHEN length(word) = 1 AND capital THEN false WHEN short THEN false
+    ELSE NOT (regexp_matches(word, '^[0-9]+$') AND next_small) END AS ends FROM y),
+follows AS (
+  SELECT word, coalesce(lag(ends) OVER (PARTITION BY doc_id ORDER BY i), false) AND capital AS begins FROM first),
+starts AS (
+  SELECT word, count(*)::DOUBLE AS n, (count(*) FILTER (begins))::DOUBLE AS k FROM follows
+  WHERE regexp_matches(word, '^\p{L}+(\.\p{L}+)*$') GROUP BY word),
+chance AS (SELECT sum(k) / sum(n) AS p FROM starts),
+ratios AS (
+  SELECT word, 2 * (k * ln((k / n) / p) + CASE WHEN n = k THEN 0 ELSE (n - k) * ln((1 - k / n) / (1 - p)) END) AS score
+  FROM starts, chance WHERE k > 0 AND k / n > p),
+starters AS MATERIALIZED (SELECT word FROM ratios WHERE score >= 30 ORDER BY score DESC, word LIMIT 10000),
+z AS (
+  SELECT doc_id, i, piece, i = size OR CASE WHEN marks = '' THEN false WHEN contains(marks, '!') OR contains(marks, '?') THEN true
+    WHEN marks <> '.' THEN NOT next_small WHEN length(word) = 1 AND capital THEN false
+    WHEN short THEN next_capital AND next_word IN (SELECT word FROM starters)
+    ELSE NOT (regexp_matches(word, '^[0-9]+$') AND next_small) END AS ends FROM y),
+n AS (SELECT *, coalesce(sum(ends::INTEGER) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM z)
+SELECT doc_id, s::INTEGER AS sent_idx, string_agg(piece, ' ' ORDER BY i) AS sent FROM n GROUP BY doc_id, s""",
     "pos_viterbi": _viterbi(),
     "pos_tags": f"""WITH {TOKEN_ROWS},
 counts AS (SELECT lower(tok) AS w, tag, count(*) AS n FROM tagged GROUP BY 1, 2),

@@ -12,7 +12,7 @@ from textmill.functions import strings as S
 from textmill.functions.strings import percent_decoded
 from textmill.functions.text import word_array
 from textmill.operators import annotate as A
-from textmill.operators import cky, corpus, eisner, fetch, pairs, progress, results, sessions, summary, tagstats, tasks, viterbi
+from textmill.operators import boundaries, cky, corpus, eisner, fetch, pairs, progress, results, sessions, summary, tagstats, tasks, viterbi
 from textmill.operators.skew import spread
 from textmill.plans import carriers as C
 from textmill.plans.job import run_job
@@ -323,6 +323,12 @@ def pos_tags(spark, sf_dir):
     return A.pos_tags(A.token_rows(docs, "doc_id"), lexicon, ["doc_id", "sent_idx", "pos"], min_total=LEARNED_FROM)
 
 
+@query
+def sentences_learned(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    return boundaries.learned_sentences(docs, boundaries.learn_boundaries(docs), "doc_id")
+
+
 @query
 def pos_viterbi(spark, sf_dir):
     docs = _documents(spark, sf_dir)

@@ -114,6 +114,43 @@ def _edges(keys: str) -> str:
     return f"SELECT {keys}, sent_idx, pos, {line} AS edge FROM tagged WINDOW w AS (PARTITION BY {keys}, sent_idx ORDER BY pos)"
 
 
+def _spans(keys: str) -> str:
+    """Nodes of ``trees`` (keys, sent_idx, tree): the k-th bracket that opens a level goes with the k-th that closes it."""
+    each = f"{keys}, sent_idx"
+    return f"""pieces AS (
+  SELECT {each}, i, ps[i] AS p, CASE WHEN i > 1 THEN ps[i - 1] ELSE '' END = '(' AS label,
+    CASE WHEN ps[i + 1] NOT IN ('(', ')') THEN ps[i + 1] END AS p1, CASE WHEN ps[i + 2] NOT IN ('(', ')') THEN ps[i + 2] END AS p2
+  FROM (SELECT {each}, ps, unnest(range(1, len(ps) + 1)) AS i
+    FROM (SELECT {each}, regexp_extract_all(tree, '\\(|\\)|[^()\\s]+') AS ps FROM trees))),
+levels AS (
+  SELECT *, sum(CASE p WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER w + CASE p WHEN ')' THEN 1 ELSE 0 END AS level,
+    sum(CASE WHEN p NOT IN ('(', ')') AND NOT label THEN 1 ELSE 0 END) OVER w AS words
+  FROM pieces WINDOW w AS (PARTITION BY {each} ORDER BY i ROWS UNBOUNDED PRECEDING)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY {each}, level, p ORDER BY i) AS k,
+    row_number() OVER (PARTITION BY {each}, p ORDER BY i) - 1 AS node FROM levels WHERE p IN ('(', ')')),
+opens AS (SELECT * FROM ranked WHERE p = '('),
+nodes AS (
+  SELECT {', '.join('o.' + c.strip() for c in each.split(','))}, o.i, o.node, o.level, coalesce(o.p1, '') AS label,
+    CASE WHEN o.p1 IS NOT NULL THEN o.p2 END AS word, o.words AS start, c.words AS "end"
+  FROM opens o JOIN ranked c ON c.p = ')' AND c.level = o.level AND c.k = o.k AND {' AND '.join(f'c.{c.strip()} = o.{c.strip()}' for c in each.split(','))}),
+spans AS (
+  SELECT {', '.join('n.' + c.strip() for c in each.split(','))}, n.node, a.node AS parent, n.level - 1 AS depth, n.label, n.word, n.start, n."end"
+  FROM nodes n ASOF LEFT JOIN nodes a ON {' AND '.join(f'a.{c.strip()} = n.{c.strip()}' for c in each.split(','))}
+    AND a.level = n.level - 1 AND a.i < n.i)"""
+
+
+SPAN_ROW = """node::INTEGER AS node, parent::INTEGER AS parent, depth::INTEGER AS depth, label, word,
+  start::INTEGER AS start, "end"::INTEGER AS "end\""""
+
+
+def _chunks() -> str:
+    nouns = r"regexp_replace(tree, '(\((?:DT|PRP\$|JJ|JJS|CD|NN|NNS|NNP) [^() ]+\))', '(NP \1)', 'g')"
+    merged = rf"regexp_replace({nouns}, '\)\) \(NP \(', ') (', 'g')"
+    linked = rf"regexp_replace({merged}, '(\((?:IN|TO) [^() ]+\)) \(NP ', '(PP \1 (NP' || chr(9), 'g')"
+    return rf"SELECT doc_id, sent_idx, regexp_replace({linked}, '\(NP\t(.*?)\)\)', '(NP \1)))', 'g') AS tree FROM flat"
+
+
 def _viterbi() -> str:
     """Tags by context: pair scores from the tags by form, one decoding, scores again from it, and the decoding asked for.
 
@@ -406,6 +443,20 @@ FROM ok f LEFT JOIN bodies b ON f.line_no = b.line_no""",
     "tagged_roundtrip": f"""WITH {FETCHED_TAGGED}
 SELECT f.job_id, f.line_no, CAST(t.sent_idx AS INTEGER) AS sent_idx, CAST(t.pos AS INTEGER) AS pos, t.tok, t.tag
 FROM ok f JOIN tagged t ON f.line_no = t.line_no WHERE f.method = 'POS'""",
+    "tree_spans": f"""WITH {TOKEN_ROWS},
+flat AS ({_tree('doc_id')}), trees AS ({_chunks()}), {_spans('doc_id')}
+SELECT doc_id, sent_idx::INTEGER AS sent_idx, {SPAN_ROW} FROM spans""",
+    "tree_rules": f"""WITH {TOKEN_ROWS},
+flat AS ({_tree('doc_id')}), trees AS ({_chunks()}), {_spans('doc_id')},
+kept AS (SELECT * FROM spans WHERE depth < 2 OR word IS NULL),
+below AS (
+  SELECT doc_id, sent_idx, parent AS node, string_agg(label, ' ' ORDER BY node) AS children
+  FROM kept WHERE parent IS NOT NULL GROUP BY doc_id, sent_idx, parent)
+SELECT label, children, count(*) AS n FROM below JOIN kept USING (doc_id, sent_idx, node) GROUP BY label, children""",
+    "tree_scan": f"""WITH {FETCHED_TAGGED},
+todo AS (SELECT * FROM tagged WHERE line_no IN (SELECT line_no FROM ok WHERE method = 'CONSTITUENCY')),
+trees AS (SELECT line_no, sent_idx, tree FROM ({_tree('line_no', 'todo')}) WHERE size <= 20), {_spans('line_no')}
+SELECT line_no, sent_idx::INTEGER AS sent_idx, {SPAN_ROW} FROM spans""",
     "sentences_learned": r"""WITH pieces AS (
   SELECT doc_id, regexp_extract_all(text, '[^\t\n\x0b\x0c\r ]+') AS ps FROM documents),
 bare AS (

@@ -12,7 +12,7 @@ from textmill.functions import strings as S
 from textmill.functions.strings import percent_decoded
 from textmill.functions.text import word_array
 from textmill.operators import annotate as A
-from textmill.operators import boundaries, cky, corpus, eisner, fetch, pairs, progress, results, sessions, summary, tagstats, tasks, viterbi
+from textmill.operators import boundaries, cky, corpus, eisner, fetch, pairs, progress, results, sessions, spans, summary, tagstats, tasks, viterbi
 from textmill.operators.skew import spread
 from textmill.plans import carriers as C
 from textmill.plans.job import run_job
@@ -323,6 +323,33 @@ def pos_tags(spark, sf_dir):
     return A.pos_tags(A.token_rows(docs, "doc_id"), lexicon, ["doc_id", "sent_idx", "pos"], min_total=LEARNED_FROM)
 
 
+@query
+def tree_spans(spark, sf_dir):
+    """The nodes of chunk trees of all sentences."""
+    sentences = cky.tagged_sentences(_documents(spark, sf_dir), "doc_id")
+    trees = sentences.select("doc_id", "sent_idx", spans.chunk_tree(F.col("tagged")).alias("tree"))
+    return spans.tree_spans(trees, "doc_id", "sent_idx")
+
+
+@query
+def tree_rules(spark, sf_dir):
+    """Which labels stand below which, over the chunk trees."""
+    sentences = cky.tagged_sentences(_documents(spark, sf_dir), "doc_id")
+    trees = sentences.select("doc_id", "sent_idx", spans.chunk_tree(F.col("tagged")).alias("tree"))
+    nodes = materialize(spans.tree_spans(trees, "doc_id", "sent_idx"), "spans")
+    return spans.rule_counts(nodes.where("depth < 2 or word is null"), "doc_id", "sent_idx")
+
+
+@query
+def tree_scan(spark, sf_dir):
+    """Annotated trees written as a table, read back as nodes."""
+    path = scratch_path(spark, "annotated")
+    todo = _fetched(spark, sf_dir).where("method = 'CONSTITUENCY'")
+    sinks.write_annotated(A.annotated_text(A.annotate(todo, MAX_TOKENS)), path)
+    trees = spans.annotated_trees(spark.read.parquet(path), "line_no")
+    return spans.tree_spans(trees, "line_no", "sent_idx")
+
+
 @query
 def sentences_learned(spark, sf_dir):
     docs = _documents(spark, sf_dir)

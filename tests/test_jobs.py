@@ -260,3 +260,48 @@ def test_the_time_budget_is_of_the_task(spark):
     rows = annotate_with(fetched_rows(spark), {"CONSTITUENCY": "EACH"}, budget_s=0.35).orderBy("line_no").collect()
     assert rows[0].error and rows[0].body is None
     assert rows[1].error is None and rows[1].body == "Fine.\n\n"
+
+
+def test_a_run_that_dies_leaves_the_old_output(spark, tmp_path, monkeypatch):
+    from textmill.plans import job
+
+    docs = spark.createDataFrame([("u1", "One two."), ("u2", "Three.")], "url string, text string")
+    first, second, out = tmp_path / "first", tmp_path / "second", str(tmp_path / "out")
+    put_manifest(first, "a", "POS\tu1", "DEPENDENCY\tu2")
+    put_manifest(second, "a", "POS\tu2")
+
+    def state():
+        table = spark.read.schema("line_no long, body string, job_id string, method string").parquet(f"{out}/annotated")
+        results = spark.read.schema("success boolean, job_id string").json(f"{out}/results")
+        return sorted((r.method, r.body) for r in table.collect()), results.count()
+
+    run_job(spark, str(first), docs, out)
+    before = state()
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    for name in ("write_annotated", "write_results"):
+        with monkeypatch.context() as patch:
+            patch.setattr(job, name, dies)
+            with pytest.raises(RuntimeError, match="lost"):
+                run_job(spark, str(second), docs, out)
+        assert state() == before or name == "write_results"
+        # never without output, whatever was written so far
+        assert {m for m, _ in state()[0]} == {"POS", "DEPENDENCY"} and state()[1] == 2
+    run_job(spark, str(second), docs, out)
+    assert [m for m, _ in state()[0]] == ["POS"] and state()[1] == 1
+
+
+def test_a_run_with_objects(spark, tmp_path):
+    from textmill.sinks.objects import read_objects
+
+    docs = spark.createDataFrame([("x/u1.txt", "One two."), ("x/u2.txt", "")], "url string, text string")
+    first, second, out = tmp_path / "first", tmp_path / "second", str(tmp_path / "out")
+    put_manifest(first, "a", "POS\tx/u1.txt", "POS\tx/u2.txt", "POS\tgone")
+    put_manifest(second, "a", "POS\tx/u2.txt")
+    run_job(spark, str(first), docs, out, objects=True)
+    got = {r.output_key.rpartition("/")[2]: r.body for r in read_objects(spark, f"{out}/annotated").collect()}
+    assert sorted(got.values()) == ["", "One/NNP two/NN ./. \n"] and all(k.startswith("POS-u") for k in got)
+    run_job(spark, str(second), docs, out, objects=True)
+    assert [r.body for r in read_objects(spark, f"{out}/annotated").collect()] == [""]

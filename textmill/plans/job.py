@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textmill import constants as K
 from textmill.functions.text import sentence_array, tagged_array
@@ -15,10 +16,11 @@ from textmill.operators.fetch import fetch
 from textmill.operators.results import result_rows
 from textmill.operators.summary import summary_parts, summary_stats
 from textmill.operators.viterbi import Tagger, tagged_by_context
-from textmill.sinks.tables import clear_jobs, write_annotated, write_results, write_summaries
+from textmill.sinks.objects import write_objects
+from textmill.sinks.tables import write_annotated, write_results, write_summaries
 from textmill.sources.manifest import parse_manifest, read_manifest_lines
 from textmill.sources.results import read_results
-from textmill.storage import materialize
+from textmill.storage import materialize, remove_stale
 
 
 def run_job(
@@ -33,6 +35,7 @@ def run_job(
     jobs: DataFrame | None = None,
     tagger: Tagger | None = None,
     ends: Boundaries | None = None,
+    objects: bool = False,
 ) -> DataFrame:
     """Process all manifests below ``manifest_path`` against ``docs(url, text)``.
 
@@ -44,7 +47,8 @@ def run_job(
     the jobs that get a summary; without it, those whose manifest has a line
     (Spark does not see empty files).  ``tagger`` (of ``viterbi.learn_tagger``) tags by
     context instead of by form, ``ends`` (of ``boundaries.learn_boundaries``) cuts sentences with the
-    abbreviations that were learned.
+    abbreviations that were learned.  ``objects`` writes one object per task at its
+    exact key (``sinks.objects``) instead of a table.
     """
     tag_tokens = partial(tagged_by_context, tagger=tagger) if tagger else tagged_array
     cut_text = partial(learned_cut, model=ends) if ends else sentence_array
@@ -60,10 +64,20 @@ def run_job(
         # built-in annotators do not fail: outcomes need the URLs, not the text
         annotated, outcomes = annotate(fetched, max_tokens, tag_tokens, cut_text), fetched
     jobs = materialize((jobs if jobs is not None else lines).select("job_id").distinct(), "jobs")
-    in_hand = jobs.union(lines.select("job_id")).distinct()
-    clear_jobs(in_hand, f"{out}/annotated", f"{out}/results", f"{out}/summary")
-    write_annotated(annotated_text(annotated), f"{out}/annotated")
+    in_hand = materialize(jobs.union(lines.select("job_id")).distinct(), "in-hand")
+    text = annotated_text(annotated)
+    if objects:
+        write_objects(materialize(text, "bodies"), f"{out}/annotated", in_hand)
+    else:
+        write_annotated(text, f"{out}/annotated")
     write_results(result_rows(outcomes, bucket), f"{out}/results")
-    results = read_results(spark, f"{out}/results").join(jobs, "job_id", "left_semi")
+    # what the jobs wrote before and not again goes only now: a run that dies leaves old or new output, never none
+    remove_stale(f"{out}/results", in_hand, tasks.select("job_id"))
+    results = read_results(spark, f"{out}/results").join(in_hand, "job_id", "left_semi")
+    if not objects:
+        done = results.where("success").select("job_id", F.col("parsing_method").alias("method"))
+        remove_stale(f"{out}/annotated", in_hand, done)
+    results = results.join(jobs, "job_id", "left_semi")
     write_summaries(summary_parts(results, jobs), f"{out}/summary")
+    remove_stale(f"{out}/summary", in_hand, jobs)
     return summary_stats(results)

@@ -16,6 +16,7 @@ from textmill.operators import boundaries, cky, corpus, eisner, fetch, pairs, pr
 from textmill.operators.skew import spread
 from textmill.plans import carriers as C
 from textmill.plans.job import run_job
+from textmill.sinks import objects
 from textmill.sinks import tables as sinks
 from textmill.sources import documents, manifest, messages, tagged, wordlists
 from textmill.sources import results as result_source
@@ -323,6 +324,17 @@ def pos_tags(spark, sf_dir):
     return A.pos_tags(A.token_rows(docs, "doc_id"), lexicon, ["doc_id", "sent_idx", "pos"], min_total=LEARNED_FROM)
 
 
+@query
+def annotated_objects(spark, sf_dir):
+    """Annotated text as one object per task, read back from the objects after a rerun of two jobs."""
+    root = scratch_path(spark, "objects")
+    rows = materialize(A.annotated_text(A.annotate(_fetched(spark, sf_dir), MAX_TOKENS)), "annotated")
+    objects.write_objects(rows, root)
+    again = rows.where("job_id in ('src1', 'src2')")
+    objects.write_objects(again.where("line_no % 2 = 0"), root, again.select("job_id"))
+    return objects.read_objects(spark, root)
+
+
 @query
 def tree_spans(spark, sf_dir):
     """The nodes of chunk trees of all sentences."""

@@ -67,3 +67,37 @@ def remove_partitions(path: str, column: str, values: DataFrame) -> None:
     wanted = values.select(F.col(column).cast("string").alias("value")).distinct()
     for row in spark.createDataFrame(held, "value string, name string").join(wanted, "value", "left_semi").toLocalIterator():
         files.delete(folder(f"{root.toString()}/{row['name']}"), True)
+
+
+def remove_stale(path: str, jobs: DataFrame, written: DataFrame) -> None:
+    """Delete the partition folders of the jobs in hand that a run has not written.
+
+    ``jobs(job_id)`` are the jobs in hand; ``written`` names the partitions that hold new rows, ``job_id`` first and then the
+    other partition columns in order.  Called after the write, so no job is without output in between.
+    """
+    spark, columns = jobs.sparkSession, written.columns
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    root = folder(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return
+
+    def below(at: str, column: str) -> list[tuple[str, str]]:
+        names = [s.getPath().getName() for s in files.listStatus(folder(at))]
+        return [(unquote(n.partition("=")[2]), f"{at}/{n}") for n in names if n.startswith(f"{column}=")]
+
+    held = below(root.toString(), columns[0])
+    if not held:
+        return
+    mine = jobs.select(F.col("job_id").cast("string").alias("v0")).distinct()
+    found = spark.createDataFrame(held, "v0 string, at string").join(mine, "v0", "left_semi")
+    rows = [((r["v0"],), r["at"]) for r in found.toLocalIterator()]
+    for column in columns[1:]:
+        rows = [((*values, value), at) for values, start in rows for value, at in below(start, column)]
+    if not rows:
+        return
+    names = [f"v{i}" for i in range(len(columns))]
+    listed = spark.createDataFrame([(*v, at) for v, at in rows], ", ".join(f"{n} string" for n in (*names, "at")))
+    new = written.select(*[F.col(c).cast("string").alias(n) for c, n in zip(columns, names)]).distinct()
+    for row in listed.join(new, names, "left_anti").toLocalIterator():
+        files.delete(folder(row["at"]), True)

@@ -146,6 +146,24 @@ def as_result_messages(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").alias("msg_id"), body.alias("body"))
 
 
+def as_requests(events: DataFrame) -> DataFrame:
+    """``(task_id, job_id, ts)``: every even event is a request."""
+    return events.where("event_id % 2 = 0").select(
+        F.col("event_id").alias("task_id"), F.col("user_id").alias("job_id"), F.col("ts").cast("timestamp").alias("ts")
+    )
+
+
+def as_responses(events: DataFrame) -> DataFrame:
+    """``(task_id, success, ts)``: every odd event answers the one before it, errors answer nothing; every third comes twice."""
+    rows = events.where("event_id % 2 = 1 and event_type <> 'error'").select(
+        (F.col("event_id") - 1).alias("task_id"),
+        (F.col("event_type") != "signup").alias("success"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.explode(F.when(F.col("event_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"),
+    )
+    return rows.drop("_copy")
+
+
 def template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Template-pair lines ``(doc_id, place, value)`` made of neighbouring words."""
     words = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", word_array(F.col("text")).alias("ws"))

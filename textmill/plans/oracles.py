@@ -253,6 +253,18 @@ open_jobs AS (
 progress AS (
   SELECT *, CAST(ceil(remaining / n) AS BIGINT) AS need, done >= total AS complete FROM open_jobs)"""
 
+# even events ask, odd ones answer the one before; what the watermark of both streams has reached at the end
+CORRELATED = """requests AS (SELECT event_id AS task_id, user_id AS job_id, ts AS sent FROM events WHERE event_id % 2 = 0),
+responses AS (
+  SELECT event_id - 1 AS task_id, event_type <> 'signup' AS success, ts AS answered
+  FROM events WHERE event_id % 2 = 1 AND event_type <> 'error'),
+correlated AS (
+  SELECT q.task_id, q.job_id, q.sent, r.answered, r.success FROM requests q LEFT JOIN responses r
+    ON r.task_id = q.task_id AND r.answered >= q.sent AND r.answered <= q.sent + INTERVAL 4 MINUTE),
+mark AS (
+  SELECT date_trunc('millisecond', least((SELECT max(sent) FROM requests), (SELECT max(answered) FROM responses)))
+    - INTERVAL 1 HOUR AS w)"""
+
 # messages as the events read, and their decoded parts
 MESSAGES = """raw AS (
   SELECT event_id, user_id, event_type, event_id % 10 = 0 AS empty,
@@ -707,6 +719,19 @@ numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_
 SELECT user_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS n_events
 FROM numbered GROUP BY user_id, s
 HAVING max(ts) + INTERVAL 30 MINUTE - INTERVAL 1 MICROSECOND <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR""",
+    "stream_missing_results": f"""WITH {CORRELATED}
+SELECT task_id, job_id, sent FROM correlated
+WHERE answered IS NULL AND sent + INTERVAL 4 MINUTE < (SELECT w FROM mark)""",
+    "stream_responses": f"""WITH {COMPLETIONS}, {CORRELATED}
+SELECT task_id, job_id, sent, answered, success FROM correlated
+WHERE answered IS NOT NULL AND job_id IN (SELECT job_id FROM jobs WHERE job_id % 2 = 0)""",
+    "stream_idle": """WITH steps AS (
+  SELECT user_id, ts, event_id, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < 1800000000 THEN 0 ELSE 1 END AS opens
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM steps)
+SELECT user_id, min(ts) AS active_since, max(ts) AS last_event, max(ts) + INTERVAL 30 MINUTE AS idle_since, count(*) AS n_events
+FROM numbered GROUP BY user_id, s
+HAVING max(ts) + INTERVAL 30 MINUTE <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR""",
     "stream_route": f"""WITH {MESSAGES}
 SELECT *, CASE WHEN route = 'control' THEN 'control' ELSE 'work' END AS lane FROM routed""",
     "stream_needed_workers": f"""WITH {COMPLETIONS},

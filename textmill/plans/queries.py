@@ -22,7 +22,8 @@ from textmill.sources import documents, manifest, messages, tagged, wordlists
 from textmill.sources import results as result_source
 from textmill.storage import materialize, scratch_path
 from textmill.streaming import completions as live
-from textmill.streaming import routing, sink
+from textmill.streaming import correlation, routing, sink
+from textmill.streaming import idle as live_idle
 from textmill.streaming import sessions as live_sessions
 
 BUCKET = "text-results"
@@ -37,6 +38,8 @@ LEARNED_FROM = 5
 FILE_ROWS = 1_000
 THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 VISIBILITY_STEP_S = 14_400
+#: How long a response may take on the stream.
+DEADLINE_S = 240
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -624,19 +627,51 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.read_messages(spark, f"{sf_dir}/events.parque[t]", schema)
 
 
-def _once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First deliveries of a stream in which every seventh message comes twice."""
-    twice = C.redelivered(C.as_completions(_event_stream(spark, sf_dir)))
-    return live.first_deliveries(twice, "1 hour", *sink.fresh(spark, "stream-once"))
+def _twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of completions in which every seventh message comes twice."""
+    return C.redelivered(C.as_completions(_event_stream(spark, sf_dir)))
 
 
 @query
 def stream_completions(spark, sf_dir):
     table, checkpoint = sink.fresh(spark, "stream-counts")
-    counts = live.running_counts(_once(spark, sf_dir))
-    sink.start_batches(counts, table, checkpoint, "update").awaitTermination()
-    # counts only grow: the last word on a job is its largest
-    return spark.read.parquet(table).groupBy("job_id").agg(F.max("done").alias("done"))
+    live.start_counts(_twice(spark, sf_dir), "1 hour", table, checkpoint).awaitTermination()
+    return live.current_counts(spark, table)
+
+
+@query
+def stream_missing_results(spark, sf_dir):
+    """Requests whose response did not come within the deadline."""
+    table, checkpoint = sink.fresh(spark, "stream-missing")
+    missing = correlation.missing_results(_correlated(spark, sf_dir))
+    sink.start_append(missing, table, checkpoint).awaitTermination()
+    return _plain_ts(spark.read.schema(missing.schema).parquet(table), "sent")
+
+
+@query
+def stream_responses(spark, sf_dir):
+    """Requests of the even jobs with their responses."""
+    table, checkpoint = sink.fresh(spark, "stream-responses")
+    owners = C.event_jobs(spark, sf_dir).where("job_id % 2 = 0")
+    answered = correlation.answered_requests(_correlated(spark, sf_dir), owners)
+    sink.start_append(answered, table, checkpoint).awaitTermination()
+    return _plain_ts(spark.read.schema(answered.schema).parquet(table), "sent", "answered")
+
+
+def _correlated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = C.as_requests(_event_stream(spark, sf_dir))
+    responses = C.as_responses(_event_stream(spark, sf_dir))
+    return correlation.correlate(requests, responses, DEADLINE_S, "1 hour")
+
+
+@query
+def stream_idle(spark, sf_dir):
+    """Users that were silent for half an hour, raised by timers."""
+    table, checkpoint = sink.fresh(spark, "stream-idle")
+    events = _event_stream(spark, sf_dir).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    idle = live_idle.stream_idle(events, "user_id", "1 hour")
+    sink.start_append(idle, table, checkpoint).awaitTermination()
+    return _plain_ts(spark.read.schema(idle.schema).parquet(table), "active_since", "last_event", "idle_since")
 
 
 @query
@@ -679,8 +714,8 @@ def stream_route(spark, sf_dir):
 @query
 def stream_needed_workers(spark, sf_dir):
     table, checkpoint = sink.fresh(spark, "stream-workers")
-    counts = live.running_counts(_once(spark, sf_dir))
     step = live.workers_step(_registry(spark, sf_dir))
-    sink.start_batches(counts, table, checkpoint, "complete", step).awaitTermination()
+    live.start_counts(_twice(spark, sf_dir), "1 hour", table, checkpoint, step).awaitTermination()
     # one row per batch: the last one is the state of things
-    return spark.read.parquet(table).agg(*[F.max_by(c, "batch").alias(c) for c in ("pending", "wanted", "target")])
+    rows = spark.read.parquet(f"{table}/steps")
+    return rows.agg(*[F.max_by(c, "batch").alias(c) for c in ("pending", "wanted", "target")])

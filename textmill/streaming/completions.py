@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from textmill import constants as K
 from textmill.operators.progress import job_progress_from_counts, needed_workers
-from textmill.streaming.sink import start_append
+from textmill.session import ROCKSDB
+from textmill.streaming.sink import PROVIDER, WHAT_HAS_ARRIVED, drop_batches, last_batch, session_conf
 
 KEEP_STATE_MS = 30 * 24 * 3600 * 1000
 #: State with an age limit asks for another batch again and again; a run over what has arrived must not.
@@ -29,19 +30,53 @@ def stream_dedup(completions: DataFrame, delay: str) -> DataFrame:
     return completions.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["msg_id"])
 
 
-def first_deliveries(completions: DataFrame, delay: str, table: str, checkpoint: str) -> DataFrame:
-    """Store the first delivery of each message in ``table`` and read it as a stream.
-
-    Counts that update cannot follow the dedup in one query, so they read its table.
+def start_counts(
+    completions: DataFrame,
+    delay: str,
+    table: str,
+    checkpoint: str,
+    step: Callable[[DataFrame], DataFrame] | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the completions per job up to date in one query: dedup and counts, batch after batch.
+
+    The dedup hands each batch its first deliveries; these are counted in each task and added to the counts of the batch
+    before.  ``table/counts/batch=n`` holds ``(job_id, done)`` after batch ``n``, and ``table/steps/batch=n`` what ``step`` makes
+    of it.  A batch that repeats starts from the same counts again, so a restart never counts twice; counts of batches that
+    cannot repeat any more are deleted.
     """
+    spark = completions.sparkSession
     once = stream_dedup(completions, delay)
-    start_append(once, table, checkpoint).awaitTermination()
-    return completions.sparkSession.readStream.schema(once.schema).parquet(table)
-
-
-def running_counts(once: DataFrame) -> DataFrame:
-    """Completions per job so far, from first deliveries; counted in each task before the shuffle."""
-    return once.groupBy("job_id").agg(F.count(F.lit(1)).alias("done"))
+    kind = once.schema["job_id"].dataType.simpleString()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("job_id").agg(F.count(F.lit(1)).alias("done"))
+        before = last_batch(spark, f"{table}/counts", batch_id - 1)
+        if before is not None:
+            old = spark.read.schema(f"job_id {kind}, done long").parquet(f"{table}/counts/batch={before}")
+            counts = counts.unionByName(old).groupBy("job_id").agg(F.sum("done").alias("done"))
+        counts.write.mode("overwrite").parquet(f"{table}/counts/batch={batch_id}")
+        if step:
+            now = spark.read.schema(f"job_id {kind}, done long").parquet(f"{table}/counts/batch={batch_id}")
+            step(now).write.mode("overwrite").parquet(f"{table}/steps/batch={batch_id}")
+        drop_batches(spark, f"{table}/counts", batch_id - 2)
+
+    with session_conf(spark, {PROVIDER: ROCKSDB}):
+        return (
+            once.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or WHAT_HAS_ARRIVED))
+            .start()
+        )
+
+
+def current_counts(spark: SparkSession, table: str, kind: str = "bigint") -> DataFrame:
+    """``(job_id, done)`` after the last whole batch of ``start_counts``."""
+    schema = f"job_id {kind}, done long"
+    last = last_batch(spark, f"{table}/counts")
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{table}/counts/batch={last}")
 
 
 def _fire_once(keep_ms: int) -> StatefulProcessor:
@@ -105,7 +140,7 @@ def job_done_events(
 
 
 def workers_step(jobs: DataFrame, cap: int = K.MAX_WORKERS):
-    """Batch step for ``running_counts`` in complete mode: one row of workers wanted."""
+    """Step for ``start_counts``: one row of workers wanted."""
 
     def step(counts: DataFrame) -> DataFrame:
         return needed_workers(job_progress_from_counts(counts, jobs), cap)

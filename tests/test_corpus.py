@@ -154,3 +154,73 @@ def test_custom_annotator_deadline(spark):
     docs = spark.createDataFrame([(1, "slow one. quick two.")], "d long, text string")
     rows = annotate_custom(sentence_rows(docs, "d"), "SLOW", budget_s=0.2).orderBy("sent_idx").collect()
     assert [(r.value, r.error) for r in rows] == [(None, "Task Timed Out"), ("quick two.", None)]
+
+
+def brute_similar(bigrams, k, least, least_seen):
+    """All pairs of a small vocabulary, by the definition."""
+    out = {}
+    total = sum(bigrams.values())
+    feats = {}
+    for slot in "XY":
+        sides = Counter()
+        for (a, b), n in bigrams.items():
+            sides[(b, a) if slot == "X" else (a, b)] += n
+        cp, cf = Counter(), Counter()
+        for (p, f), n in sides.items():
+            cp[p] += n
+            cf[f] += n
+        for (p, f), n in sides.items():
+            mi = math.log(n * total / (cp[p] * cf[f]))
+            if mi > 0 and n >= least_seen:
+                feats.setdefault((slot, p), {})[f] = mi
+    words = sorted({p for _, p in feats})
+    for p in words:
+        scored = []
+        for q in words:
+            ratios = []
+            for slot in "XY":
+                a, b = feats.get((slot, p), {}), feats.get((slot, q), {})
+                whole = sum(a.values()) + sum(b.values())
+                ratios.append(sum(a[f] + b[f] for f in a.keys() & b.keys()) / whole if whole else 0)
+            score = round(math.sqrt(ratios[0] * ratios[1]), 3)
+            if p != q and score >= least:
+                scored.append((-score, q))
+        for rank, (score, q) in enumerate(sorted(scored)[:k]):
+            out[p, rank + 1] = (q, -score)
+    return out
+
+
+@pytest.mark.parametrize("least, least_seen", [(0.2, 1), (0.5, 1), (0.8, 2)])
+def test_similar_templates_equal_all_pairs(spark, least, least_seen):
+    import random
+
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(30)]
+    # words of one family are used alike; some fillers go with all
+    bigrams = Counter()
+    for _ in range(3000):
+        a = rng.randrange(30)
+        b = (a % 5) * 6 + rng.randrange(6) if rng.random() < 0.8 else rng.randrange(3)
+        bigrams[vocabulary[a], vocabulary[b]] += 1
+    rows = spark.createDataFrame([("en", a, b, n) for (a, b), n in bigrams.items()], "lang string, w1 string, w2 string, n long")
+    got = {(r.p, r.rank): (r.q, r.similarity) for r in pairs.similar_templates(rows, 4, least, least_seen).collect()}
+    want = brute_similar(bigrams, 4, least, least_seen)
+    assert got == want and got
+
+
+def test_similar_candidates_leave_pairs_out(spark):
+    """Words that share only what all words have never meet."""
+    rows = []
+    for i in range(40):
+        rows += [("en", "the", f"w{i}", 5), ("en", f"w{i}", "of", 5)]
+        rows += [("en", f"x{i // 2}", f"w{i}", 9), ("en", f"w{i}", f"y{i // 2}", 9)]
+    bigrams = spark.createDataFrame(rows, "lang string, w1 string, w2 string, n long")
+    features = pairs.slot_features(bigrams)
+    met = {(r.p, r.q) for r in pairs.similar_candidates(features, 0.5).collect()}
+    alike = {(min(f"w{i}", f"w{i + 1}"), max(f"w{i}", f"w{i + 1}")) for i in range(0, 40, 2)}
+    assert alike <= met and len([p for p in met if p[0][0] == "w" and p[1][0] == "w"]) == len(alike)
+
+
+def test_no_bigrams_no_templates(spark):
+    none = spark.createDataFrame([], "lang string, w1 string, w2 string, n long")
+    assert pairs.similar_templates(none, 3, 0.5).collect() == []

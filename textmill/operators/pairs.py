@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.operators.skew import join_lookup
@@ -36,39 +36,49 @@ def pair_symmetry(pairs: DataFrame) -> DataFrame:
     )
 
 
-def path_similarity(bigrams: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Similarity of given word pairs by the company of their two slots.
-
-    The words before a word fill its slot X, the words after it slot Y.  A
-    filler weighs its mutual information with word and slot where positive;
-    the slot similarity is the weight both words share over the weight both
-    have, and the result the geometric mean of both slots (Lin and Pantel).
-    Only the given pairs ``(lang, p, q)`` are scored: work grows with their
-    fillers, not with the square of the words.  ``bigrams`` and ``pairs`` are
-    read several times: pass stored or materialized tables.
-    """
-    words = (
-        pairs.select("lang", "p").unionByName(pairs.select("lang", F.col("q").alias("p"))).distinct()
-    )
-    sides = F.inline(
+def _sides() -> Column:
+    """A bigram seen from both words: its filler in their slot."""
+    return F.inline(
         F.array(
             F.struct(F.lit("Y").alias("slot"), F.col("w1").alias("p"), F.col("w2").alias("f")),
             F.struct(F.lit("X").alias("slot"), F.col("w2").alias("p"), F.col("w1").alias("f")),
         )
     )
-    filled = bigrams.select("lang", "n", sides)
-    per_filler = filled.groupBy("lang", "slot", "f").agg(F.sum("n").alias("cf"))
+
+
+def slot_features(bigrams: DataFrame, words: DataFrame | None = None, least_seen: int = 1) -> DataFrame:
+    """``(lang, slot, p, f, mi)``: what fills the slots of words, where that is more than chance.
+
+    The words before a word fill its slot X, the words after it slot Y.  A filler weighs its mutual
+    information with word and slot.  Only ``words(lang, p)`` if given, and only bigrams seen ``least_seen`` times; the
+    totals are of all.  ``bigrams`` and ``words`` are read several times: pass stored or materialized tables.
+    """
+    filled = bigrams.select("lang", "n", _sides())
     totals = materialize(bigrams.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     ident = ["lang", "slot", "p", "f"]
-    mine = materialize(join_lookup(filled, words, ["lang", "p"], ident, "left_semi"), "fillers")
+    mine = filled
+    if words is not None:
+        mine = materialize(join_lookup(filled, words, ["lang", "p"], ident, "left_semi"), "fillers")
+        # totals only of the fillers that these words have
+        wanted = mine.select("lang", "slot", "f").distinct()
+        filled = filled.join(wanted, ["lang", "slot", "f"], "left_semi")
+    per_filler = filled.groupBy("lang", "slot", "f").agg(F.sum("n").alias("cf"))
     per_path = materialize(mine.groupBy("lang", "slot", "p").agg(F.sum("n").alias("cp")), "marginals")
-    rows = join_lookup(mine, totals, ["lang"], ident)
+    rows = join_lookup(mine.where(F.col("n") >= least_seen), totals, ["lang"], ident)
     rows = join_lookup(rows, per_path, ["lang", "slot", "p"], ident)
-    # a filler meets each given word once, so no key is hot
+    # a filler meets each word once, so no key is hot
     rows = rows.join(per_filler, ["lang", "slot", "f"])
     weight = F.ln(F.col("n").cast("double") * F.col("total") / (F.col("cp").cast("double") * F.col("cf")))
-    features = materialize(rows.select(*ident, weight.alias("mi")).where("mi > 0"), "features")
+    return materialize(rows.select(*ident, weight.alias("mi")).where("mi > 0"), "features")
 
+
+def pair_scores(features: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(lang, p, q, similarity)`` of the given pairs.
+
+    The slot similarity is the weight both words share over the weight both have, and the result the
+    geometric mean of both slots (Lin and Pantel).  Work grows with the fillers of the pairs.
+    """
+    ident = ["lang", "slot", "p", "f"]
     mass = features.groupBy("lang", "slot", "p").agg(F.sum("mi").alias("mass"))
     left = join_lookup(features, pairs, ["lang", "p"], ident)
     other = features.select("lang", "slot", F.col("p").alias("q"), "f", F.col("mi").alias("mi_q"))
@@ -89,6 +99,75 @@ def path_similarity(bigrams: DataFrame, pairs: DataFrame) -> DataFrame:
     return scored.select("lang", "p", "q", F.round(F.coalesce("s", F.lit(0.0)), 3).alias("similarity"))
 
 
+def path_similarity(bigrams: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Similarity of given word pairs ``(lang, p, q)`` by the company of their two slots.
+
+    ``bigrams`` and ``pairs`` are read several times: pass stored or materialized tables.
+    """
+    words = pairs.select("lang", "p").unionByName(pairs.select("lang", F.col("q").alias("p"))).distinct()
+    return pair_scores(slot_features(bigrams, words), pairs)
+
+
+def similar_candidates(features: DataFrame, least: float, slot: str = "X") -> DataFrame:
+    """``(lang, p, q)``: a superset of the pairs whose similarity can reach ``least``; no pair is missed.
+
+    A similarity of ``least`` needs ``least^2`` in each slot.  Take ``p`` as the word with less weight ``m``: what it can share
+    is bounded by its own weights and the highest weight that any word gives each filler, and must reach ``2 m least^2``.  From the
+    most common fillers on, those that cannot reach it together are left out; only the rarer rest has to meet the fillers of
+    ``q``.  Fillers are ordered by the power of two of the words that have them, so a few sums a word are enough.
+    """
+    tau = least * least
+    rows = features.where(F.col("slot") == slot).select("lang", "p", "f", "mi")
+    known = rows.groupBy("lang", "f").agg(F.count(F.lit(1)).alias("words"), F.max("mi").alias("most"))
+    # a filler that one word has joins nothing, but it counts for the weight
+    level = F.floor(F.log2(F.col("words").cast("double"))).cast("int")
+    marked = materialize(
+        rows.join(known, ["lang", "f"]).select("lang", "p", "f", "mi", "words", level.alias("level"), (F.col("mi") + F.col("most")).alias("can")),
+        "marked",
+    )
+    weights = materialize(marked.groupBy("lang", "p").agg(F.sum("mi").alias("mass"), F.sum("can").alias("reach")), "weights")
+    # a filler of one word cannot be shared
+    levels = marked.where("words > 1").groupBy("lang", "p", "level").agg(F.sum("can").alias("can"))
+    commoner = Window.partitionBy("lang", "p").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
+    needed = (
+        levels.withColumn("tail", F.sum("can").over(commoner))
+        .join(weights, ["lang", "p"])
+        .where(F.col("tail") >= 2 * tau * F.col("mass"))
+        .select("lang", "p", "level", F.col("mass").alias("mass_p"), (F.col("reach") / tau - F.col("mass")).alias("limit"))
+    )
+    shared = marked.where("words > 1")
+    prefix = shared.join(needed, ["lang", "p", "level"]).select("lang", "f", "p", "mass_p", "limit")
+    others = shared.select("lang", "f", F.col("p").alias("q")).join(
+        weights.select("lang", F.col("p").alias("q"), F.col("mass").alias("mass_q")), ["lang", "q"]
+    )
+    met = prefix.join(others, ["lang", "f"]).where(
+        (F.struct("mass_q", "q") > F.struct("mass_p", "p")) & (F.col("mass_q") <= F.col("limit"))
+    )
+    return met.select("lang", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
+
+
+def similar_templates(bigrams: DataFrame, k: int, least: float, least_seen: int = 1) -> DataFrame:
+    """For every word the ``k`` most similar others of at least ``least``: ``(lang, p, rank, q, similarity)``.
+
+    Ties go to the word first in order.  Only pairs that can reach ``least`` are scored; see ``similar_candidates``.  The top
+    k are cut in each task before the shuffle.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("least must be above 0 and at most 1")
+    features = slot_features(bigrams, least_seen=least_seen)
+    # scores are rounded to three places
+    candidates = materialize(similar_candidates(features, max(least - 0.001, least / 2)), "candidates")
+    scored = pair_scores(features, candidates).where(F.col("similarity") >= least)
+    each = F.inline(
+        F.array(
+            F.struct(F.col("p").alias("p"), F.col("q").alias("q")), F.struct(F.col("q").alias("p"), F.col("p").alias("q"))
+        )
+    )
+    rows = scored.select("lang", "similarity", each)
+    best = Window.partitionBy("lang", "p").orderBy(F.desc("similarity"), "q")
+    return rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("lang", "p", "rank", "q", "similarity")
+
+
 def threshold_sweep(scored: DataFrame, thresholds: list[float]) -> DataFrame:
     """Confusion counts, precision, recall and F1 of ``score >= threshold``.
 

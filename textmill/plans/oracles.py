@@ -648,6 +648,25 @@ d AS (
   SELECT a AS p, b AS q, swapped, there AS n, both_ways FROM r UNION ALL
   SELECT b, a, swapped, back, both_ways FROM r)
 SELECT p, q, swapped, n, both_ways AND NOT swapped AS reverse_as_is, both_ways AS reverse_renamed FROM d WHERE n > 0""",
+    "similar_templates": f"""WITH {STOP}, {ALL_BIGRAMS},
+filled AS (
+  SELECT lang, 'Y' AS slot, w1 AS p, w2 AS f, n FROM all_bigrams
+  UNION ALL SELECT lang, 'X', w2, w1, n FROM all_bigrams),
+mi AS (
+  SELECT lang, slot, p, f, n, ln(CAST(n AS DOUBLE) * CAST(sum(n) OVER (PARTITION BY lang, slot) AS DOUBLE)
+    / (CAST(sum(n) OVER (PARTITION BY lang, slot, p) AS DOUBLE)
+       * CAST(sum(n) OVER (PARTITION BY lang, slot, f) AS DOUBLE))) AS mi
+  FROM filled),
+feat AS MATERIALIZED (SELECT *, sum(mi) OVER (PARTITION BY lang, slot, p) AS mass FROM mi WHERE mi > 0 AND n >= 5),
+ratios AS (
+  SELECT a.lang, a.p, b.p AS q, a.slot, sum(a.mi + b.mi) / (max(a.mass) + max(b.mass)) AS ratio
+  FROM feat a JOIN feat b ON a.lang = b.lang AND a.slot = b.slot AND a.f = b.f AND a.p <> b.p
+  GROUP BY a.lang, a.p, b.p, a.slot),
+sims AS (
+  SELECT x.lang, x.p, x.q, round(sqrt(x.ratio * y.ratio), 3) AS similarity
+  FROM ratios x JOIN ratios y ON y.lang = x.lang AND y.p = x.p AND y.q = x.q AND x.slot = 'X' AND y.slot = 'Y')
+SELECT lang, p, row_number() OVER (PARTITION BY lang, p ORDER BY similarity DESC, q)::INTEGER AS rank, q, similarity
+FROM sims WHERE similarity >= 0.3 QUALIFY rank <= 5""",
     "path_similarity": f"""WITH {STOP}, {ALL_BIGRAMS},
 given AS (
   SELECT a.lang, a.w AS p, b.w AS q FROM stop a JOIN stop b ON a.lang = b.lang AND b.rank = a.rank + 1),

@@ -32,6 +32,8 @@ STOP_WORDS = 20
 TOP_COLLOCATIONS = 500
 #: Bigrams seen less often are not ranked: the ratio says little about them.
 LEAST_SEEN = 5
+#: Templates less alike are not listed.
+LEAST_ALIKE = 0.3
 #: Words seen less often are tagged by rule, not by what was seen.
 LEARNED_FROM = 5
 #: Documents in a text file.
@@ -606,6 +608,13 @@ def path_similarity(spark, sf_dir):
     return pairs.path_similarity(bigrams, materialize(given, "pairs"))
 
 
+@query
+def similar_templates(spark, sf_dir):
+    """The five most similar templates ``X word Y`` of every word."""
+    bigrams = materialize(corpus.bigram_counts(_documents(spark, sf_dir)), "bigrams")
+    return pairs.similar_templates(bigrams, 5, LEAST_ALIKE, LEAST_SEEN)
+
+
 @query
 def threshold_sweep(spark, sf_dir):
     """How well the share of distinct words tells the labelled quality."""

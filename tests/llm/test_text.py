@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -13,7 +14,7 @@ from check_oracles import connect, difference, same_type
 from textmill.llm import bpe, queries
 from textmill.llm.lm import backoff_scores
 from textmill.llm.mixing import keep_mixed, mix_sources
-from textmill.llm.syncmers import CHAR_K, CHAR_S, WORD_K, WORD_S, anchors, fingerprint_documents
+from textmill.llm.syncmers import fingerprint_documents
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -188,42 +189,85 @@ def test_fingerprints_are_of_the_text_alone(make, odd):
     assert [r.near_next for r in fingerprint_documents(make([(1, "just one text here")])).collect()] == [1.0]
 
 
-def closed(h, k, s, pack):
-    inner = [pack(h[i : i + s]) if s > 1 else h[i] for i in range(len(h) - s + 1)]
+def words_of(t):
+    return re.findall("[^\\x20\\x09-\\x0D]+", t or "")
+
+
+@pytest.fixture(scope="module")
+def hashes(spark):
+    """xxhash64 of tuples of strings or numbers, many at a time."""
+
+    def build(values):
+        values = list(dict.fromkeys(values))
+        if not values:
+            return {}
+        rows = spark.createDataFrame([(i, *v) for i, v in enumerate(values)])
+        got = rows.select("_1", F.xxhash64(*rows.columns[1:])).collect()
+        return {values[r[0]]: r[1] for r in got}
+
+    return build
+
+
+def codes_by_hand(texts, hashes):
+    """The anchors of each text, straight from the definition."""
+    one = hashes([(w,) for t in texts for w in words_of(t)])
+    lines = [[one[w,] for w in words_of(t)] for t in texts]
+    four = hashes([tuple(u[i : i + 4]) for u in lines for i in range(len(u) - 3)])
+    whole = hashes([(t,) for t in texts if t])
     out = []
-    for i in range(len(h) - k + 1):
-        part = inner[i : i + k - s + 1]
-        if min(part) in (part[0], part[-1]):
-            out.append(i)
+    for t, u in zip(texts, lines):
+        places = [i for i in range(len(u) - 3) if min(u[i : i + 4]) in (u[i], u[i + 3])]
+        steps = [b - a for a, b in zip([0, *places], places)]
+        assert all(s <= 4 for s in steps)
+        found = [s << 28 | (four[tuple(u[i : i + 4])] % (1 << 64)) >> 36 for s, i in zip(steps, places)]
+        out.append(found or ([7 << 28 | (whole[t,] % (1 << 64)) >> 36] if t else []))
     return out
 
 
-def test_syncmers_by_hand(spark, make, text):
-    words, short = text(3, 200), "abcdefghij klm"
-    row = make([(1, words), (2, short)]).orderBy("doc_id").select(anchors(F.col("text")).alias("a")).collect()
+def jaccard(a, b):
+    a, b = set(a), set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
 
-    def h(*values):
-        return spark.range(1).select(F.xxhash64(*[F.lit(v) for v in values])).first()[0]
 
-    hashed = [h(w) for w in words.split()]
-    assert [a.position for a in row[0].a] == closed(hashed, WORD_K, WORD_S, None)
-    assert row[0].a[0].hash == h(*hashed[row[0].a[0].position : row[0].a[0].position + WORD_K])
-    chars = [h(c) for c in short]
-    assert [a.position for a in row[1].a] == closed(chars, CHAR_K, CHAR_S, lambda x: h(*x))
+def by_text(codes):
+    return "".join(f"{c:08x}" for c in codes)
+
+
+def parsed(fingerprint):
+    return [fingerprint[k : k + 8] for k in range(0, len(fingerprint), 8)]
+
+
+def test_syncmer_rows_equal_definition(make, odd, text, hashes):
+    """Every column by hand, cuts inside, before and after words, blanks of all kinds, short and long texts."""
+    given = [
+        text(1, 60), text(2, 61), "abc", "ab cd", "  lead and trail  ", "x" * 50, "a b c d e f g h", "one\ttwo\nthree four  five six",
+        "é ü ö " * 9, text(3, 7) + "   " + text(4, 3), "", "\n \n", text(5, 200), "w " * 40, text(1, 60),
+    ]
+    given += [text(9, 40)[:n] for n in range(150, 175)]
+    rows = list(enumerate(given))
+    edited = []
+    for i, t in rows:
+        q, following = len(t) // 4, given[(i + 1) % len(given)]
+        edited.append(t[: len(t) - q] + following[:q])
+    plain, changed = codes_by_hand(given, hashes), codes_by_hand(edited, hashes)
+    got = {r.doc_id: r for r in fingerprint_documents(make(rows, clash=True)).collect()}
+    for i, t in rows:
+        r = got[i]
+        assert r.n_chars == len(t) and r.next_id == (i + 1) % len(given)
+        assert r.edited_sha256 == hashlib.sha256(edited[i].encode()).hexdigest()
+        assert (r.fingerprint, r.edited_fingerprint) == (by_text(plain[i]), by_text(changed[i])), (i, t)
+        assert r.near_edited == pytest.approx(jaccard(plain[i], changed[i]))
+        assert r.near_next == pytest.approx(jaccard(plain[i], plain[(i + 1) % len(given)]))
 
 
-def test_fingerprints_have_every_anchor_and_its_place(make, text):
-    given = [text(3, 3000), "abcdefghij klm nop qrs tuv"]
-    docs = make(list(enumerate(given)))
-    want = {r.doc_id: r.a for r in docs.select("doc_id", anchors(F.col("text"), F.lit(False)).alias("a")).collect()}
-    for r in fingerprint_documents(docs).collect():
-        parts = r.fingerprint.split("/")
-        assert len(parts) == 1 + (r.n_chars <= 400)
-        at, got = 0, []
-        for k in range(0, len(parts[0]), 9):
-            at += int(parts[0][k], 16)
-            got.append((at, int(parts[0][k + 1 : k + 9], 16)))
-        assert got == [(a.position, (a.hash % (1 << 64)) >> 32) for a in want[r.doc_id]]
+@pytest.mark.parametrize("size", [395, 400, 405, 5000])
+def test_likeness_comes_from_the_returned_fingerprints(make, text, size):
+    docs = [(i, (text(i // 2, 1200) + " ")[i % 2 * 7 :][: size + 3 * i]) for i in range(8)] + [(9, "short one"), (10, None)]
+    got = {r.doc_id: r for r in fingerprint_documents(make(docs)).collect()}
+    for r in got.values():
+        assert r.near_edited == pytest.approx(jaccard(parsed(r.fingerprint), parsed(r.edited_fingerprint)))
+        assert r.near_next == pytest.approx(jaccard(parsed(r.fingerprint), parsed(got[r.next_id].fingerprint)))
+    assert any(0 < r.near_next < 1 for r in got.values()) and all(0.4 < got[i].near_edited < 0.9 for i in range(7))
 
 
 def test_likeness_counts_every_anchor(make, text):
@@ -238,13 +282,10 @@ def test_likeness_counts_every_anchor(make, text):
     assert fingerprint_documents(make([(1, one), (2, two)])).first().near_next < 0.1
 
 
-def test_likeness_does_not_jump_at_the_length_of_short_texts(make, text):
-    for cut in (380, 399, 400, 401, 420):
-        whole = text(6, 200)[:cut]
-        got = {r.doc_id: r for r in fingerprint_documents(make([(1, whole), (2, text(7, 200)[:50])])).collect()}
-        assert 0.5 < got[1].near_edited < 0.85
-    got = fingerprint_documents(make([(1, text(6, 200)[:395]), (2, text(6, 200)[:405])])).collect()
-    assert min(r.near_next for r in got) > 0.9
+def test_fingerprints_of_text_ids(spark, text):
+    rows = spark.createDataFrame([("b", text(1, 40)), ("a", text(2, 40)), (None, text(3, 40))], "doc_id string, text string")
+    got = {r.doc_id: r.next_id for r in fingerprint_documents(rows).collect()}
+    assert got == {None: "a", "a": "b", "b": None}
 
 
 # backoff scores

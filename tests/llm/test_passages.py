@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -132,3 +133,37 @@ def test_hashes_of_equal_spans():
     assert len(set(gram_hashes(x, 3).tolist())) == 5
     h = span_hashes(x, np.array([0, 5, 0]), np.array([5, 10, 4]))
     assert h[0] == h[1] != h[2]
+
+
+def test_one_word_a_million_times(make):
+    """Long runs are cut, so repetitive text takes steps by the piece and not by the document."""
+    start = time.monotonic()
+    rows = [(1, "same " * 1_000_000), (2, "same same"), (3, "other " + "same " * 30)]
+    got = {r.doc_id: r for r in substring.substring_dedup(make(rows), substring.DIGEST).collect()}
+    # the first window stays, every later one repeats it; all words of those that follow are covered
+    assert (got[1].n_words, got[1].n_removed) == (1_000_000, 999_999)
+    assert (got[2].n_removed, got[3].n_removed) == (0, 30)
+    assert time.monotonic() - start < 60
+
+
+@pytest.mark.parametrize("most", [1, 7, 64])
+def test_cut_runs_equal_brute_force(given, odd, make, most, monkeypatch):
+    monkeypatch.setattr(substring, "MOST", most)
+    monkeypatch.setattr(suffix, "MOST", most)
+    rows = [(r.doc_id, r.text) for r in given.collect()][:80]
+    docs = make([(i, t) for i, t in rows])
+    assert words_of(substring.substring_dedup(docs, substring.DIGEST)) == by_words(rows)
+    assert bytes_of(suffix.suffix_dedup(docs, suffix.DIGEST)) == by_bytes(rows)
+
+
+def test_word_codes_tell_words_apart():
+    raw = np.frombuffer("ab cd ab\x00 é ab xx cd cd".encode(), np.uint8)
+    codes = substring.word_codes(raw, np.array([0, 13]), np.array([11, 11]))
+    text = raw.tobytes()
+    parts = [[*text[0:11].split(), None], [*text[13:24].split(), None]]
+    flat = [w for p in parts for w in p]
+    assert len(codes) == len(flat)
+    for i in range(len(flat)):
+        for j in range(len(flat)):
+            assert (codes[i] == codes[j]) == (flat[i] == flat[j])
+    assert all((c == 0) == (w is None) for c, w in zip(codes, flat))

@@ -36,7 +36,7 @@ from textmill.storage import materialize
 
 #: Bytes of text per shard, and of text that a task works on at a time.
 SHARD_BYTES = 4 << 20
-_SLICE = 2 << 20
+_SLICE = 512 << 10
 _FLUSH = 32 << 20
 #: Runs of one anchor from which it is split, unless a millionth of all is more.
 HOT_RUNS = 20_000
@@ -48,13 +48,15 @@ _NO_ID = -(1 << 63)
 
 @dataclass(frozen=True)
 class Scheme:
-    """What a window is.  ``within``: windows that start earlier in the same document count, too."""
+    """What a window is.  ``within``: windows that start earlier in the same document count, too; ``most``: windows
+    of a run, longer ones are cut."""
 
     words: bool
     length: int
     gram: int
     within: bool
     index: Callable
+    most: int
 
     def normal(self, text: str | None) -> bytes:
         raw = (text or "").encode()
@@ -276,16 +278,16 @@ def _compress(scheme: Scheme):
     return run
 
 
-def _result(scheme: Scheme, raw: bytes, spans: list[tuple[int, int]] | None) -> tuple[int, int, int, bytes]:
+def _result(scheme: Scheme, raw: bytes, spans: tuple[np.ndarray, np.ndarray] | None) -> tuple[int, int, int, bytes]:
     """Units, removed units, removed stretches and what is kept of one text."""
+    if spans is None or not len(spans[0]):
+        if not scheme.words:
+            return len(raw), 0, 0, raw
+        return len(raw.split()), 0, 0, raw
     u = units(scheme, [raw])
     n = len(u.values)
-    if not spans:
-        return n, 0, 0, raw
-    change = np.zeros(n + 1, np.int64)
-    for start, number in spans:
-        change[start] += 1
-        change[start + number + scheme.length - 1] -= 1
+    start, number = spans
+    change = np.bincount(start, minlength=n + 1) - np.bincount(start + number + scheme.length - 1, minlength=n + 1)
     gone = np.cumsum(change[:-1]) > 0
     stretches = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
     if scheme.words:
@@ -299,43 +301,75 @@ def _picked(scheme: Scheme, u: Units, keys: list[bytes | None]) -> tuple[np.ndar
     """Row, start, number and anchor of the runs whose anchor is among those of their document."""
     start, number, key = runs(scheme, u)
     row = np.searchsorted(u.first, start, "right") - 1
-    cuts = np.searchsorted(row, np.arange(len(keys) + 1))
-    take = np.zeros(len(start), bool)
-    for i, k in enumerate(keys):
-        a, b = cuts[i], cuts[i + 1]
-        if k and b > a:
-            take[a:b] = np.isin(key[a:b] >> _KEY_SHIFT, _long(np.frombuffer(k, np.uint8)))
+    # a document's number above the 40 bits of an anchor; a slice has far fewer documents than the rest can tell
+    known = [_long(np.frombuffer(k, np.uint8)) | np.uint64(i << 40) for i, k in enumerate(keys) if k]
+    mine = (row.astype(np.uint64) << np.uint64(40)) | (key >> _KEY_SHIFT)
+    take = np.isin(mine, np.concatenate(known)) if known else np.zeros(len(start), bool)
     return row[take], start[take], number[take], key[take]
 
 
+def _packed_runs(start: np.ndarray, number: np.ndarray, key: np.ndarray) -> bytes:
+    """Runs of one document: the steps between their starts, their windows and anchors."""
+    return key.astype("<u8").tobytes() + _steps(start).astype("<u4").tobytes() + number.astype("<u4").tobytes()
+
+
+def _unpacked_runs(values: list[bytes], first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, start, number and anchor of the runs of some rows, whose units begin at ``first``."""
+    size = np.array([len(v) // 16 for v in values], np.int64)
+    row = np.repeat(np.arange(len(values)), size)
+    key = np.frombuffer(b"".join(v[: 8 * n] for v, n in zip(values, size.tolist())), "<u8")
+    steps = np.frombuffer(b"".join(v[8 * n : 12 * n] for v, n in zip(values, size.tolist())), "<u4").astype(np.int64)
+    number = np.frombuffer(b"".join(v[12 * n :] for v, n in zip(values, size.tolist())), "<u4").astype(np.int64)
+    total = np.cumsum(steps)
+    begin = np.cumsum(size) - size
+    before = np.concatenate(([0], total))[begin]
+    return row, total - np.repeat(before, size) + np.repeat(first[: len(values)], size), number, key.astype(np.uint64)
+
+
+def _text_groups(texts: list[bytes], places: list[int]) -> Iterator[list[int]]:
+    """The places in groups with about ``_SLICE`` bytes of text each."""
+    group, held = [], 0
+    for i in places:
+        if group and held + len(texts[i]) > _SLICE:
+            yield group
+            group, held = [], 0
+        group.append(i)
+        held += len(texts[i])
+    if group:
+        yield group
+
+
 def _settle(scheme: Scheme, report: Report):
-    """Results of documents without repeated anchors; the others' texts, with the bytes of their runs."""
+    """Results of documents without repeated anchors; the others' texts, with their runs and the bytes of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id, did, twin, packed, keys = batch.columns
-            load, rest, done = [], [], []
-            for z, k in zip(packed.to_pylist(), keys.to_pylist()):
-                raw = zstandard.decompress(z)
-                pick = 0
-                if k:
-                    u = units(scheme, [raw])
-                    _, start, number, _ = _picked(scheme, u, [k])
-                    pick = int((u.end[start + number + scheme.length - 2] - u.begin[start]).sum())
-                load.append(pick)
-                rest.append(z if pick else None)
-                done.append(report.make(*_result(scheme, raw, None)) if not pick else None)
+            texts = [zstandard.decompress(z) for z in packed.to_pylist()]
+            load, picks = [0] * len(texts), [None] * len(texts)
+            heard = keys.to_pylist()
+            for part in _text_groups(texts, [i for i, k in enumerate(heard) if k]):
+                u = units(scheme, [texts[i] for i in part])
+                row, start, number, key = _picked(scheme, u, [heard[i] for i in part])
+                size = u.end[start + number + scheme.length - 2] - u.begin[start]
+                cuts = np.searchsorted(row, np.arange(len(part) + 1))
+                for k, (i, x, y) in enumerate(zip(part, cuts[:-1].tolist(), cuts[1:].tolist())):
+                    if y > x:
+                        load[i] = int(size[x:y].sum())
+                        picks[i] = _packed_runs(start[x:y] - u.first[k], number[x:y], key[x:y])
+            rest = [z if p else None for z, p in zip(packed.to_pylist(), picks)]
+            done = [None if p else report.make(*_result(scheme, t, None)) for t, p in zip(texts, picks)]
             yield pa.record_batch(
                 [
                     doc_id,
                     did,
                     twin,
                     pa.array(rest, pa.binary()),
-                    keys,
+                    pa.array(picks, pa.binary()),
                     pa.array(load, pa.int64()),
                     pa.array(done, report.kind),
                 ],
-                ["doc_id", "did", "twin", "packed", "keys", "load", "done"],
+                ["doc_id", "did", "twin", "packed", "picks", "load", "done"],
             )
 
     return run
@@ -375,15 +409,21 @@ def _emit_runs(scheme: Scheme, shards: int, hot_box):
             for a, b in row_slices(batch.column(2), _SLICE // 3):
                 texts = [zstandard.decompress(z) for z in batch.column(2).slice(a, b - a).to_pylist()]
                 u = units(scheme, texts)
-                row, start, number, key = _picked(scheme, u, batch.column(3).slice(a, b - a).to_pylist())
-                if len(hot):
-                    split = np.isin(key >> _KEY_SHIFT, hot)
+                row, start, number, key = _unpacked_runs(batch.column(3).slice(a, b - a).to_pylist(), u.first)
+                split = np.isin(key >> _KEY_SHIFT, hot) if len(hot) else np.zeros(0, bool)
+                if split.any():
                     n = np.where(split, number, 1)
                     within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                     row, start, key, split = (np.repeat(x, n) for x in (row, start, key, split))
                     start, number = start + within, np.where(split, 1, np.repeat(number, n))
                     whole = span_hashes(u.values, start, start + scheme.length)
                     key = np.where(split, mix(whole), key)
+                # long runs are cut; the pieces keep their anchor, so equal windows still meet
+                n = -(-number // scheme.most)
+                if (n > 1).any():
+                    piece = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                    row, key, start, number = (np.repeat(x, n) for x in (row, key, start, number))
+                    start, number = start + scheme.most * piece, np.minimum(number - scheme.most * piece, scheme.most)
                 begin, end = u.begin[start], u.end[start + number + scheme.length - 2]
                 hashed = span_hashes(u.raw, begin, end)
                 own = slice(a, b)
@@ -503,7 +543,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, report: Report, hot_runs: in
     table = materialize(
         joined.select("doc_id", "did", "twin", "packed", "keys").mapInArrow(
             _settle(scheme, report),
-            f"doc_id bigint, did bigint, twin int, packed binary, keys binary, load bigint, done {report.schema}",
+            f"doc_id bigint, did bigint, twin int, packed binary, picks binary, load bigint, done {report.schema}",
         ),
         "texts",
     )
@@ -511,7 +551,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, report: Report, hot_runs: in
     shards = max(1, math.ceil(load / SHARD_BYTES))
 
     open_rows = table.where("packed is not null")
-    runs_out = open_rows.select("did", "twin", "packed", "keys").mapInArrow(
+    runs_out = open_rows.select("did", "twin", "packed", "picks").mapInArrow(
         _emit_runs(scheme, shards, hot_box), "shard bigint, value binary"
     )
     spans = (
@@ -529,9 +569,13 @@ def _finish(scheme: Scheme, report: Report):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = []
-            for z, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                pairs = [(s["start"], s["number"]) for s in spans or []]
-                done.append(report.make(*_result(scheme, zstandard.decompress(z), pairs)))
+            lists = batch.column(2)
+            size = lists.value_lengths().fill_null(0).to_numpy()
+            flat = lists.flatten()
+            start, number = (flat.field(c).to_numpy().astype(np.int64) for c in ("start", "number"))
+            ends = np.cumsum(size)
+            for z, a, b in zip(batch.column(1).to_pylist(), (ends - size).tolist(), ends.tolist()):
+                done.append(report.make(*_result(scheme, zstandard.decompress(z), (start[a:b], number[a:b]))))
             yield pa.record_batch([batch.column(0), pa.array(done, report.kind)], ["doc_id", "done"])
 
     return run

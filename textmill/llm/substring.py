@@ -16,10 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from textmill.llm.hashing import span_hashes, word_spans
 from textmill.llm.passages import HOT_RUNS, Report, Scheme, remove_repeats
 
 WINDOW = 20
 GRAM = 6
+#: Windows of a run that travels: the runs of a shard are streamed together, one step for each word of the longest.
+MOST = 128
 
 
 class BitVector:
@@ -125,24 +128,48 @@ def matching_intervals(index: FMIndex, begin: np.ndarray, size: np.ndarray, leng
     return out_low, out_high
 
 
+def word_codes(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The words of all runs as numbers from 1 on, equal words by equal numbers, a 0 after each run."""
+    # runs end to end with a blank between them, so that no two words touch
+    inside = np.arange(int(size.sum()) + len(size)) - np.repeat(np.cumsum(size + 1) - size - 1, size + 1)
+    last = np.repeat(size, size + 1) == inside
+    line = np.where(last, 32, raw[np.minimum(np.repeat(begin, size + 1) + inside, max(0, len(raw) - 1))]).astype(np.uint8)
+    start, end = word_spans(line)
+    hashed = span_hashes(line, start, end)
+    width = end - start
+    order = np.lexsort((width, hashed))
+    new = np.ones(len(order), bool)
+    new[1:] = (hashed[order][1:] != hashed[order][:-1]) | (width[order][1:] != width[order][:-1])
+    lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    # equal hashes are compared byte by byte
+    n = width[order]
+    cut = np.cumsum(n) - n
+    at = np.arange(int(n.sum())) - np.repeat(cut, n)
+    differ = line[np.repeat(start[order], n) + at] != line[np.repeat(start[lead], n) + at]
+    if differ.any():
+        known: dict[bytes, int] = {}
+        numbers = np.array([known.setdefault(line[a:b].tobytes(), len(known) + 1) for a, b in zip(start, end)], np.int64)
+    else:
+        numbers = np.empty(len(order), np.int64)
+        numbers[order] = np.cumsum(new)
+    run = np.searchsorted(np.cumsum(size + 1), start, "right")
+    out = np.zeros(len(start) + len(size), np.int64)
+    out[np.arange(len(start)) + run] = numbers
+    return out
+
+
 def earlier_by_fm_index(raw, begin, size, number, when, length) -> np.ndarray:
     """Which windows of a shard's runs also occur with a smaller ``when``.
 
     A run is ``size`` bytes from ``begin`` of ``raw``, words joined by blanks,
     and holds ``number`` windows.
     """
-    known: dict[bytes, int] = {}
-    text = raw.tobytes()
-    codes: list[int] = []
-    for a, n in zip(begin.tolist(), size.tolist()):
-        codes += [known.setdefault(w, len(known) + 1) for w in text[a : a + n].split()]
-        codes.append(0)
     words = number + length - 1
     first = np.cumsum(words + 1) - words - 1
-    index = FMIndex(np.array(codes, np.int64), length + 1)
+    index = FMIndex(word_codes(raw, begin, size), length + 1)
     low, high = matching_intervals(index, first, words, length)
     window = np.repeat(first - np.cumsum(number) + number, number) + np.arange(int(number.sum()))
-    order = np.full(len(codes), np.iinfo(np.int64).max)
+    order = np.full(len(index.text), np.iinfo(np.int64).max)
     order[window] = when
     heads = np.unique(low[window])
     # the intervals of all windows are apart from each other and sorted by their lower bound
@@ -183,4 +210,4 @@ def substring_dedup(
     their place alone (so equal rows keep their words), other columns are ignored, an empty
     table gives an empty result.
     """
-    return remove_repeats(docs, Scheme(True, window, gram, True, earlier_by_fm_index), report, hot_runs)
+    return remove_repeats(docs, Scheme(True, window, gram, True, earlier_by_fm_index, MOST), report, hot_runs)

@@ -18,6 +18,8 @@ from textmill.llm.passages import HOT_RUNS, Report, Scheme, remove_repeats
 
 WINDOW = 50
 GRAM = 20
+#: Windows of a run that travels.
+MOST = 1 << 16
 _FIRST = 8
 
 
@@ -30,16 +32,12 @@ def _first_buckets(raw: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _numbered(places: np.ndarray, high: np.ndarray, low: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sort places by (high, low): the places in order, their bucket from 0 on, and if they share it."""
-    if low is None:
-        order = np.argsort(high)
-        new = np.ones(len(order), bool)
-        new[1:] = high[order][1:] != high[order][:-1]
-    else:
-        order = np.argsort(high * (int(low.max(initial=0)) + 1) + low)
-        new = np.ones(len(order), bool)
-        new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
+def _numbered(places: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sort places by their key: the places in order, their bucket from 0 on, and if they share it."""
+    order = np.argsort(key)
+    key = key[order]
+    new = np.ones(len(order), bool)
+    new[1:] = key[1:] != key[:-1]
     last = np.append(new[1:], True)[: len(new)]
     return places[order], np.cumsum(new) - 1, ~(new & last)
 
@@ -53,19 +51,21 @@ def refine(raw: np.ndarray, room: np.ndarray, length: int) -> tuple[np.ndarray,
     have = min(_FIRST, length)
     gram = _first_buckets(raw, have)
     places = np.flatnonzero(room[: len(gram)] >= have)
-    places, bucket, shared = _numbered(places, gram[places], None)
+    places, bucket, shared = _numbered(places, gram[places])
     pointer = np.zeros(len(raw), np.int64)
     pointer[places] = bucket
+    used = int(bucket[-1]) + 1 if len(bucket) else 1
     places, bucket = places[shared], bucket[shared]
     while have < length:
         step = min(have, length - have)
         fits = room[places] >= have + step
-        places = places[fits]
-        # dense identifiers keep the pair in one number
-        high = np.unique(pointer[places], return_inverse=True)[1]
-        low = np.unique(pointer[places + step], return_inverse=True)[1]
-        places, bucket, shared = _numbered(places, high, low)
-        pointer[places] = bucket + int(pointer.max(initial=0)) + 1
+        places, bucket = places[fits], bucket[fits]
+        # the places are in the order of their buckets, so these are numbered anew without sorting
+        dense = np.zeros(len(bucket), np.int64)
+        np.cumsum(bucket[1:] != bucket[:-1], out=dense[1:])
+        places, bucket, shared = _numbered(places, dense * used + pointer[places + step])
+        pointer[places] = bucket + used
+        used += int(bucket[-1]) + 1 if len(bucket) else 0
         places, bucket = places[shared], bucket[shared]
         have += step
     fits = room[places] >= length
@@ -130,4 +130,4 @@ def suffix_dedup(
     A null text is empty, a null id comes before all others, rows that share an id do not cover each other,
     other columns are ignored, an empty table gives an empty result.
     """
-    return remove_repeats(docs, Scheme(False, window, gram, False, earlier_by_refinement), report, hot_runs)
+    return remove_repeats(docs, Scheme(False, window, gram, False, earlier_by_refinement, MOST), report, hot_runs)

@@ -35,7 +35,7 @@ from textmill.llm.hashing import gram_hashes, mix, row_words, span_hashes
 from textmill.storage import materialize
 
 #: Bytes of text per shard, and of text that a task works on at a time.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 20
 _SLICE = 512 << 10
 _FLUSH = 32 << 20
 #: Runs of one anchor from which it is split, unless a millionth of all is more.
@@ -493,6 +493,7 @@ def _covered_runs(scheme: Scheme):
             seg = np.repeat(np.arange(len(did)), number)
             inside = np.arange(len(seg)) - np.repeat(np.cumsum(number) - number, number)
             place = start[seg] + inside
+            del inside
             # windows in the order in which an earlier one covers a later one
             when = (rank[seg].astype(np.int64) << 32) + (place if scheme.within else 0)
             hit = scheme.index(raw, begin, size, number, when, scheme.length)

@@ -51,7 +51,9 @@ def refine(raw: np.ndarray, room: np.ndarray, length: int) -> tuple[np.ndarray,
     have = min(_FIRST, length)
     gram = _first_buckets(raw, have)
     places = np.flatnonzero(room[: len(gram)] >= have)
-    places, bucket, shared = _numbered(places, gram[places])
+    gram = gram[places]
+    places, bucket, shared = _numbered(places, gram)
+    del gram
     pointer = np.zeros(len(raw), np.int64)
     pointer[places] = bucket
     used = int(bucket[-1]) + 1 if len(bucket) else 1

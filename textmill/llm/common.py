@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word is a maximal run of characters that are neither blank nor \t \n \v \f \r.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -45,6 +46,20 @@ def shared(box: Broadcast):
     return held["model"]
 
 
+def row_hash(schema: T.StructType, name: str) -> Column:
+    """A hash of the struct column ``name`` that has the columns of ``schema``, whatever their types."""
+
+    def hashable(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(hashable(f.dataType) for f in kind.fields)
+        if isinstance(kind, T.ArrayType):
+            return hashable(kind.elementType)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    # the hash knows no maps; their text form is the same for the same row
+    return F.xxhash64(name) if hashable(schema) else F.xxhash64(F.to_json(name))
+
+
 def lower_ascii(column):
     """Lower-case A-Z only; null counts as empty."""
     return F.translate(F.coalesce(column, F.lit("")), UPPER, LOWER)

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from textmill.storage import materialize
 
-MAX_ROUNDS = 60
-
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One round: every node sends its neighbours to its smallest one.
@@ -40,13 +38,10 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links"
     )
     mark = _mark(edges)
-    for _ in range(MAX_ROUNDS):
+    last = None
+    while mark != last:
         edges = materialize(_stars(_stars(edges, True), False), "links")
         last, mark = mark, _mark(edges)
-        if mark == last:
-            break
-    else:
-        raise RuntimeError("components did not settle")
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(edges.select(F.col("b"), F.col("b")).distinct())
 

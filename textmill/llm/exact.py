@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import lower_ascii
+from textmill.llm.common import lower_ascii, row_hash
 from textmill.storage import materialize
 
 SALTS = 32
@@ -104,5 +104,5 @@ def keep_exact(docs: DataFrame, salts: int = SALTS) -> DataFrame:
                 & (lower_ascii(F.col("row.text")) == odd.content),
             ).select("row", rows.digest, rows.doc_id)
         )
-    twin = Window.partitionBy("digest", "doc_id").orderBy(F.xxhash64("row.text"))
+    twin = Window.partitionBy("digest", "doc_id").orderBy(F.xxhash64("row.text"), row_hash(docs.schema, "row"))
     return won.withColumn("twin", F.row_number().over(twin)).where("twin = 1").select("row.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,3 +23,13 @@ def labelled_rows(labels: DataFrame, label: str, folds: int, fold: int, most: in
         return usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
     parts = [usable.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in (0, 1)]
     return parts[0].union(parts[1])
+
+
+def labelled_texts(docs: DataFrame, chosen: DataFrame, copies: int = 2) -> DataFrame:
+    """``doc_id, label, text`` of the chosen ids; of rows that share an id, the ``copies`` with the smallest text hashes.
+
+    So the number of rows is bounded by that of ``chosen``, and reruns take the same ones.
+    """
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    same = Window.partitionBy("doc_id", "label").orderBy(F.xxhash64("text"))
+    return rows.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") <= copies).select("doc_id", "label", "text")

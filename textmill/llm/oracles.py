@@ -37,9 +37,12 @@ p AS (
 k AS (
   SELECT *, (least(greatest(floor(target) - begin_at, 0), size)
     + least(greatest(floor(target) - begin_at - source_size, 0), size))::BIGINT AS taken,
-    least(begin_at / target, 1.0::DOUBLE) AS q FROM p)
+    least(begin_at / target, 1.0::DOUBLE) AS q, least((begin_at + source_size) / target, 1.0::DOUBLE) AS q2,
+    floor(target) > begin_at + source_size AND size > 0 AS again FROM p)
 SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN CASE WHEN slope = 0 THEN q
-  ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * q) - (1 - slope)) / (2 * slope) END END AS position
+  ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * q) - (1 - slope)) / (2 * slope) END END AS position,
+  CASE WHEN again THEN CASE WHEN slope = 0 THEN q2
+  ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * q2) - (1 - slope)) / (2 * slope) END END AS second_position
 FROM k
 """
 

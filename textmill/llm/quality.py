@@ -15,10 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmill.llm.common import row_slices, text_bytes
 from textmill.llm.hashing import row_words, span_hashes
-from textmill.llm.labelled import held_out, labelled_rows
+from textmill.llm.labelled import held_out, labelled_rows, labelled_texts
 
 FOLDS, HELD_FOLD = 4, 2
 #: Labelled rows the model is fitted on, and good partners of each bad row.
@@ -130,11 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Rank
 
     ids = docs.schema["doc_id"].dataType.simpleString()
     rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "label", "text")
+        labelled_texts(docs, chosen)
         .mapInArrow(run, f"doc_id {ids}, label int, x array<double>")
-        .limit(2 * most)
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("label", "ascending")])
     )
@@ -149,8 +147,8 @@ def _scored(docs: DataFrame, model: Ranking, text: str, fields: list[str]) -> Da
             score = pa.array(model.score(features(batch.column(batch.num_columns - 1))), pa.float64())
             yield pa.record_batch([*batch.columns[:-1], score], [*fields, "score"])
 
-    schema = ", ".join(f"{f} {docs.schema[f].dataType.simpleString()}" for f in fields)
-    return docs.select(*fields, text).mapInArrow(run, f"{schema}, score double")
+    schema = T.StructType([docs.schema[f] for f in fields]).add("score", "double")
+    return docs.select(*fields, text).mapInArrow(run, schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:

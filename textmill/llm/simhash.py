@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.llm.common import row_hash
 from textmill.llm.components import components
 from textmill.storage import materialize
 
@@ -113,7 +114,7 @@ def keep_near(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     winners = named.select(F.col("component_id").alias("key")).distinct()
     rows = docs.select(F.struct("*").alias("row"), first.alias("key"))
     won = rows.join(winners, rows.key.eqNullSafe(winners.key), "left_semi")
-    twin = Window.partitionBy("key").orderBy(F.xxhash64("row"))
+    twin = Window.partitionBy("key").orderBy(row_hash(docs.schema, "row"))
     return won.withColumn("twin", F.row_number().over(twin)).where("twin = 1").select("row.*")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import share, shared
-from textmill.llm.labelled import held_out, labelled_rows
+from textmill.llm.labelled import held_out, labelled_rows, labelled_texts
 
 FOLDS, HELD_FOLD = 3, 1
 #: Labelled rows of each class the dictionaries are trained on.
@@ -147,8 +147,8 @@ def fit_distance(texts: list[str | None], label: np.ndarray) -> Distance:
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Distance:
     """Fit on at most ``most`` labelled rows of each class outside the held-out fold."""
     chosen = labelled_rows(labels, "toxic", FOLDS, HELD_FOLD, most, by_class=True)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(4 * most).toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    rows = labelled_texts(docs, chosen).toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("text", "ascending")])
     return fit_distance(rows["text"].to_pylist(), rows["label"].to_numpy())
 
 

@@ -52,7 +52,7 @@ STAGES = [
     ("bpe_encoding", bpe_encoding),
 ]
 
-#: The learned and the Python stages have no SQL; tests compare them with brute force.
+#: The learned and the Python stages have no SQL; tests compare the rows of every stage with plain versions.
 ORACLE_SQL = None
 
 

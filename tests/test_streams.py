@@ -246,3 +246,60 @@ def test_idle_counts_a_busy_key_in_few_rows(spark, tmp_path):
     sink.start_append(idle, table, checkpoint).awaitTermination()
     (row,) = spark.read.schema(idle.schema).parquet(table).collect()
     assert (row.k, row.n_events, row.last_event) == (1, 3000, T0 + dt.timedelta(seconds=2999))
+
+
+def test_a_key_has_one_timer():
+    """Many stretches of a key wait for one timer, and go together when it rings."""
+    import pandas as pd
+
+    from textmill.streaming.idle import _silence
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+        def clear(self):
+            self.held = None
+
+    class Handle:
+        def __init__(self):
+            self.value, self.timers = Value(), []
+
+        def getValueState(self, *_):
+            return self.value
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Now:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+        getExpiryTimeInMs = getCurrentWatermarkInMs
+
+    handle, gap = Handle(), 1_000_000
+    keeper = _silence("k", gap)
+    keeper.init(handle)
+    starts = [i * 5_000_000 for i in range(10)]
+    list(keeper.handleInputRows((1,), iter([pd.DataFrame({"first": starts, "last": starts, "n": [1] * 10})]), Now(0)))
+    assert handle.timers == [1000]
+    handle.timers.remove(1000)
+    (out,) = keeper.handleExpiredTimer((1,), Now(21_000), Now(1000))
+    assert out["first"].tolist() == starts[:5] and handle.timers == [26_000]
+    # an earlier stretch moves the timer
+    list(keeper.handleInputRows((1,), iter([pd.DataFrame({"first": [23_000_000], "last": [23_000_000], "n": [1]})]), Now(0)))
+    assert handle.timers == [24_000]

@@ -14,7 +14,7 @@ from textmill import constants as K
 
 
 def _silence(name: str, gap_us: int) -> StatefulProcessor:
-    """State per key: the stretches of activity that may still grow, each with a timer at its end plus the gap.
+    """State per key: the stretches of activity that may still grow, with a timer at the end of the first plus the gap.
 
     The class is made here so that it travels to the workers by value.
     """
@@ -34,9 +34,17 @@ def _silence(name: str, gap_us: int) -> StatefulProcessor:
             elif self._state.exists():
                 self._state.clear()
 
+        def _wake(self, before: list[tuple[int, int, int]], after: list[tuple[int, int, int]], rung: bool) -> None:
+            # one timer a key, for the stretch that ends first: all that is over by then goes with it
+            old, new = (min((_due(last) for _, last, _ in held), default=None) for held in (before, after))
+            if old is not None and old != new and not rung:
+                self._handle.deleteTimer(old)
+            if new is not None and (old != new or rung):
+                self._handle.registerTimer(new)
+
         def handleInputRows(self, key, rows, timerValues):
-            stretches = self._held()
-            before = {last for _, last, _ in stretches}
+            before = self._held()
+            stretches = list(before)
             for frame in rows:
                 stretches += list(zip(frame["first"].tolist(), frame["last"].tolist(), frame["n"].tolist()))
             joined: list[tuple[int, int, int]] = []
@@ -45,19 +53,17 @@ def _silence(name: str, gap_us: int) -> StatefulProcessor:
                     a, b, k = joined.pop()
                     first, last, n = a, max(b, last), k + n
                 joined.append((first, last, n))
-            after = {last for _, last, _ in joined}
-            for last in before - after:
-                self._handle.deleteTimer(_due(last))
-            for last in after - before:
-                self._handle.registerTimer(_due(last))
+            self._wake(before, joined, False)
             self._keep(joined)
             yield from ()
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            due = expiredTimerInfo.getExpiryTimeInMs()
+            now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
             stretches = self._held()
-            over = [s for s in stretches if _due(s[1]) <= due]
-            self._keep([s for s in stretches if _due(s[1]) > due])
+            over = [s for s in stretches if _due(s[1]) <= now]
+            rest = [s for s in stretches if _due(s[1]) > now]
+            self._wake(stretches, rest, True)
+            self._keep(rest)
             if over:
                 yield pd.DataFrame(
                     {

@@ -6,22 +6,29 @@ out a node when it closes.  The table then serves label counts, leaf counts and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textmill.functions import text as X
+from textmill.functions import arrow_parse as P
+from textmill.functions import arrow_text
 
 #: Brackets, and what stands between them and blanks.
 PIECE = r"\(|\)|[^()\s]+"
 #: Tags whose leaves make a noun phrase, and those that open a prepositional one.
 NOUN_TAGS = ("DT", r"PRP\$", "JJ", "JJS", "CD", "NN", "NNS", "NNP")
 LINKING_TAGS = ("IN", "TO")
+#: Trees that are read at once.
+TREES = 2_000
 
 
 def chunk_tree(tagged: Column) -> Column:
     """A tree with noun phrases and prepositional phrases over the tags: ``(ROOT (S (NP (DT the) (NN dog)) ...))``."""
     # every noun leaf a phrase of its own, then neighbours as one; no repeated group, which Java would follow by recursion
-    nouns = F.regexp_replace(X.shallow_tree(tagged), rf"(\((?:{'|'.join(NOUN_TAGS)}) [^() ]+\))", "(NP $1)")
+    nouns = F.regexp_replace(arrow_text.shallow_tree(tagged), rf"(\((?:{'|'.join(NOUN_TAGS)}) [^() ]+\))", "(NP $1)")
     merged = F.regexp_replace(nouns, r"\)\) \(NP \(", ") (")
     # a tab marks the phrases that a linking word opens, until their end is found
     linked = F.regexp_replace(merged, rf"(\((?:{'|'.join(LINKING_TAGS)}) [^() ]+\)) \(NP ", "(PP $1 (NP\t")
@@ -88,9 +95,26 @@ def tree_nodes(tree: Column) -> Column:
     return F.array_sort(F.aggregate(F.get(bound, F.lit(0)), start, step, lambda acc: acc["out"]))
 
 
-def tree_spans(trees: DataFrame, *keep: str, column: str = "tree") -> DataFrame:
-    """``(keep..., node, parent, depth, label, word, start, end)``, one row per node; nothing is shuffled."""
-    return trees.select(*keep, F.inline(tree_nodes(F.col(column))))
+def tree_spans(trees: DataFrame, *keep: str, column: str = "tree", arrow: bool = False) -> DataFrame:
+    """``(keep..., node, parent, depth, label, word, start, end)``, one row per node; nothing is shuffled.
+
+    The fold takes steps for every bracket; with ``arrow`` Python workers read all trees of a batch at once.
+    """
+    if not arrow:
+        return trees.select(*keep, F.inline(tree_nodes(F.col(column))))
+    rows = trees.select(*keep, F.col(column).alias("_tree"))
+    schema = T.StructType([*rows.select(*keep).schema.fields, *[T.StructField(c, T.StringType() if c in ("label", "word") else T.IntegerType()) for c in P.NODE]])
+    names, table = schema.names, P.tree_table
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TREES):
+                some = batch.slice(at, TREES)
+                row, columns = table(some.column(some.num_columns - 1))
+                place = pa.array(row)
+                yield pa.record_batch([*[c.take(place) for c in some.columns[:-1]], *columns], names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def tree_text(spans: DataFrame, *keep: str) -> DataFrame:
@@ -129,9 +153,17 @@ def rule_counts(spans: DataFrame, *keep: str) -> DataFrame:
 
     The children of a node are gathered inside its sentence, in one group per node.
     """
-    below = spans.where("parent is not null").groupBy(*keep, F.col("parent").alias("node")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("node").alias("k"), F.col("label").alias("l")))).alias("ls")
+    known = spans.where(" and ".join(f"`{c}` is not null" for c in keep)) if keep else spans
+    nothing = F.lit(None)
+    child = F.struct(F.col("node").alias("k"), F.col("label").alias("l"))
+    # a node and its children meet in one shuffle: it sends its label to itself, and itself to its parent
+    sent = F.array(
+        F.struct(F.col("node").alias("node"), F.struct(F.col("label").alias("l")).alias("own"), nothing.cast("struct<k:int,l:string>").alias("child")),
+        F.struct(F.col("parent").alias("node"), nothing.cast("struct<l:string>").alias("own"), child.alias("child")),
+    )
+    met = known.select(*keep, F.inline(sent)).where("node is not null").groupBy(*keep, "node").agg(
+        F.collect_list("own").alias("own"), F.array_sort(F.collect_list("child")).alias("ls")
     )
-    named = below.join(spans.select(*keep, "node", "label"), [*keep, "node"])
-    rows = named.select("label", F.array_join(F.transform("ls", lambda x: x["l"]), " ").alias("children"))
+    named = met.where(F.size("ls") > 0).select(F.explode("own").alias("own"), "ls")
+    rows = named.select(F.col("own.l").alias("label"), F.array_join(F.transform("ls", lambda x: x["l"]), " ").alias("children"))
     return rows.groupBy("label", "children").agg(F.count(F.lit(1)).alias("n"))

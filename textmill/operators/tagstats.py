@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions import arrow_text as T
 from textmill.functions import text as X
+from textmill.functions.arrow_parse import edges
 
 
 def _tagged_tokens(docs: DataFrame) -> DataFrame:
@@ -20,10 +22,8 @@ def tag_counts(docs: DataFrame) -> DataFrame:
 
 def tag_bigrams(docs: DataFrame) -> DataFrame:
     """Counts of neighbouring tags inside a sentence."""
-    tagged = F.transform(F.transform(X.sentence_array(F.col("text")), X.token_array), X.tagged_array)
-    tags = F.transform(tagged, lambda s: s["tag"])
-    pairs = docs.select(F.explode(F.filter(F.transform(tags, X.pairs_of), lambda p: p.isNotNull())).alias("ps"))
-    pairs = pairs.select(F.explode("ps").alias("p"))
+    tokens = F.transform(X.sentence_array(F.col("text")), X.token_array)
+    pairs = docs.select(F.explode(T.neighbouring_tags(tokens)).alias("p"))
     return pairs.groupBy(F.col("p.a").alias("tag1"), F.col("p.b").alias("tag2")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -62,24 +62,15 @@ def tree_tag_words(trees: DataFrame, column: str = "tree") -> DataFrame:
     return parts.groupBy("tag", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-EDGE = r"([A-Za-z:_]+)\(([^ \n]+)-([0-9]+), ([^ \n]+)-([0-9]+)\)"
-
-
 def dep_edge_counts(parses: DataFrame, column: str = "deps") -> DataFrame:
     """Counts of ``(rel, head, dep)`` in printed dependencies, one edge per line."""
-    # tokens hold no tab, so it can part the groups of the one match
-    marked = F.regexp_replace(column, EDGE, "$1\t$2\t$4")
-    edges = parses.select(F.explode(F.split(marked, "\n")).alias("edge")).where(F.contains("edge", F.lit("\t")))
-    groups = edges.select(F.split("edge", "\t").alias("g"))
-    parts = groups.select(F.col("g")[0].alias("rel"), F.col("g")[1].alias("head"), F.col("g")[2].alias("dep"))
+    parts = parses.select(F.inline(edges(F.col(column))))
     return parts.groupBy("rel", "head", "dep").agg(F.count(F.lit(1)).alias("n"))
 
 
 def shallow_parses(docs: DataFrame, *keep: str) -> DataFrame:
     """Printed shallow parses per sentence: ``(keep..., sent_idx, tree, deps)``."""
     tokens = F.transform(X.sentence_array(F.col("text")), X.token_array)
-    rows = docs.select(*keep, F.posexplode(F.transform(tokens, X.tagged_array)).alias("sent_idx", "_tagged"))
-    tagged = F.col("_tagged")
-    return rows.select(
-        *keep, "sent_idx", X.shallow_tree(tagged).alias("tree"), X.dependency_block(tagged).alias("deps")
-    )
+    rows = docs.select(*keep, F.posexplode(tokens).alias("sent_idx", "_tokens"))
+    tokens = F.col("_tokens")
+    return rows.select(*keep, "sent_idx", T.shallow_tree(tokens).alias("tree"), T.dependency_block(tokens).alias("deps"))

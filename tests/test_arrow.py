@@ -2,13 +2,15 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from textmill.functions import arrow_parse, arrow_text
 from textmill.functions import text as X
-from textmill.operators import annotate, cky, spans, tagstats
+from textmill.operators import annotate, cky, eisner, spans, tagstats, viterbi
+from textmill.storage import materialize
 
 TEXTS = [
     "The dog's (big) house was quickly sold, 3 times! It is 4th: Émile über straße ΣΑΣ ١٢ 12 x-ray - — nothing.",
@@ -101,3 +103,67 @@ def test_rules_of_repeated_and_unnamed_sentences(spark):
 
 def test_tagged_sentences_by_both_ways(docs):
     assert cky.tagged_sentences(docs, "doc_id").collect() == cky.tagged_sentences(docs, "doc_id", tag_tokens=lambda t: X.tagged_array(t)).collect()
+
+
+def test_paths_equal_columns(spark, docs):
+    rng = random.Random(4)
+    for reach in (1, 3, 900):
+        tagger = viterbi.Tagger(
+            tuple(rng.randrange(-reach, 1) for _ in range(len(viterbi.TAGS) ** 2)),
+            tuple(rng.randrange(-reach, 1) for _ in range(len(viterbi.TAGS) * len(viterbi.CLASSES))),
+        )
+        rows = [[rng.randrange(len(viterbi.CLASSES)) for _ in range(rng.randrange(0, 12))] for _ in range(150)]
+        df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, kinds array<int>")
+        want = [r["p"] for r in df.select("i", viterbi.best_path(F.col("kinds"), tagger).alias("p")).orderBy("i").collect()]
+        ends = np.cumsum([0, *map(len, rows)])
+        got = viterbi.best_paths(np.array([k for r in rows for k in r]), ends, tagger).tolist()
+        assert [got[a:b] for a, b in zip(ends, ends[1:])] == want
+        more = docs.union(spark.createDataFrame([(90, "walks " * 501 + ". The end")], docs.schema))
+        assert sorted(viterbi.context_tags(more, tagger, "doc_id", arrow=True).collect()) == sorted(viterbi.context_tags(more, tagger, "doc_id").collect())
+
+
+def test_charts_of_phrases_equal_whole_charts():
+    """The scores and trees of the chart over all symbols, for ties, too."""
+    rng = np.random.default_rng(2)
+
+    def whole_chart(row, g):
+        rules, single, top = g.scores()
+        n, size = len(row), cky.N_SYMBOLS
+        best = {}
+        for i in range(n):
+            best[i, i + 1] = {**{p: (int(single[p, row[i]]), (p, i)) for p in range(cky.N_PHRASES)}, cky.N_PHRASES + row[i]: (0, (cky.N_PHRASES + row[i], i))}
+        for width in range(2, n + 1):
+            for i in range(n - width + 1):
+                j, pairs = i + width, {}
+                for k in range(i + 1, j):
+                    for a, (x, ta) in best[i, k].items():
+                        for b, (y, tb) in best[k, j].items():
+                            if a * size + b not in pairs or x + y > pairs[a * size + b][0]:
+                                pairs[a * size + b] = (x + y, ta, tb)
+                best[i, j] = {}
+                for p in range(cky.N_PHRASES):
+                    total = [(pairs[q][0] + int(rules[p, q // size, q % size]), q) for q in sorted(pairs)]
+                    value = max(t for t, _ in total)
+                    q = next(q for t, q in total if t == value)
+                    best[i, j][p] = (value, (p, pairs[q][1], pairs[q][2]))
+        found = [(best[0, n][s][0] + int(top[s]), s) for s in sorted(best[0, n])]
+        value = max(t for t, _ in found)
+        return best[0, n][next(s for t, s in found if t == value)][1]
+
+    for few in (False, True):
+        draw = (lambda *shape: rng.integers(1, 3, shape) * 1.0) if few else (lambda *shape: rng.random(shape))
+        g = cky._normal(draw(cky.N_PHRASES, cky.N_SYMBOLS, cky.N_SYMBOLS), draw(cky.N_PHRASES, len(cky.KINDS)), draw(cky.N_SYMBOLS))
+        for n in (1, 2, 3, 5, 8):
+            kinds = rng.integers(0, len(cky.KINDS), (4, n))
+            assert cky.best_trees(kinds, g) == [whole_chart(row.tolist(), g) for row in kinds]
+
+
+def test_near_pairs_equal_columns_and_are_not_stored(spark, docs, monkeypatch):
+    sentences = cky.tagged_sentences(docs, "doc_id").withColumn("toks", F.transform("tagged", lambda w: w["tok"]))
+    for window in (1, 4):
+        got = sentences.select(arrow_text.near_pairs(F.col("toks"), window).alias("p")).collect()
+        assert got == sentences.select(eisner.pair_rows(F.col("toks"), window).alias("p")).collect()
+    stored = []
+    monkeypatch.setattr(eisner, "materialize", lambda df, label: stored.append(label) or materialize(df, label))
+    eisner.dependency_trees(sentences.drop("toks")).collect()
+    assert "near-words" not in stored and "associations" in stored

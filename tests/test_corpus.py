@@ -224,3 +224,49 @@ def test_similar_candidates_leave_pairs_out(spark):
 def test_no_bigrams_no_templates(spark):
     none = spark.createDataFrame([], "lang string, w1 string, w2 string, n long")
     assert pairs.similar_templates(none, 3, 0.5).collect() == []
+
+
+def test_words_with_one_common_filler_are_told_apart_by_blocks(spark, monkeypatch):
+    """All words share fillers: no index leaves a pair out, so blocks of few words and steps of few cells must give all pairs."""
+    import random
+
+    from textmill.operators import alike
+
+    monkeypatch.setattr(alike, "FEWEST_WORDS", 8)
+    monkeypatch.setattr(alike, "STEP", 50)
+    rng = random.Random(5)
+    bigrams = Counter()
+    for i in range(60):
+        bigrams["the", f"w{i:02}"] += rng.randrange(5, 9)
+        bigrams[f"w{i:02}", "of"] += rng.randrange(5, 9)
+        if i % 3 == 0:
+            bigrams[f"x{i % 4}", f"w{i:02}"] += rng.randrange(1, 9)
+        if i % 4 == 0:
+            bigrams[f"w{i:02}", f"y{i % 5}"] += rng.randrange(1, 9)
+    rows = spark.createDataFrame([(lang, a, b, n) for lang in ("de", "en") for (a, b), n in bigrams.items()], "lang string, w1 string, w2 string, n long")
+    got = {(r.lang, r.p, r.rank): (r.q, r.similarity) for r in pairs.similar_templates(rows, 4, 0.3).collect()}
+    want = brute_similar(bigrams, 4, 0.3, 1)
+    assert len(want) > 200
+    assert got == {(lang, *key): value for lang in ("de", "en") for key, value in want.items()}
+
+
+def test_similar_templates_store_no_row_for_every_two_words(spark, monkeypatch):
+    """120 words share their fillers, 7,140 pairs of them: what is stored grows with the words."""
+    from textmill.operators import alike
+
+    rows = []
+    for i in range(120):
+        rows += [("en", "the", f"w{i}", 5), ("en", f"w{i}", "of", 5), ("en", "a", f"v{i}", 7)]
+    bigrams = spark.createDataFrame(rows, "lang string, w1 string, w2 string, n long")
+    stored = {}
+    kept = pairs.materialize
+
+    def seen(df, label="table"):
+        out = kept(df, label)
+        stored[label] = out.count()
+        return out
+
+    monkeypatch.setattr(pairs, "materialize", seen)
+    monkeypatch.setattr(alike, "materialize", seen)
+    assert pairs.similar_templates(bigrams, 3, 0.5).count() == 3 * 120
+    assert stored and max(stored.values()) <= 3 * len(rows)

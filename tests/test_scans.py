@@ -2,13 +2,14 @@ import json
 
 from pyspark.sql import functions as F
 
+from textmill.functions.strings import trimmed
 from textmill.operators.annotate import annotate, annotated_text
 from textmill.sinks.tables import write_annotated, write_messages, write_results, write_summaries
 from textmill.sources.documents import read_documents
 from textmill.sources.manifest import manifest_rejects, parse_manifest, read_manifest, read_manifest_lines
 from textmill.sources.results import read_result_rejects, read_results
 from textmill.sources.tagged import parse_tagged, read_tagged
-from textmill.sources.wordlists import read_pairs, read_stopwords
+from textmill.sources.wordlists import PAIR_LINE, parse_pairs, read_pairs, read_stopwords
 
 
 def put(path, text):
@@ -166,3 +167,20 @@ def test_names_with_blanks_and_signs(spark, tmp_path):
     (tmp_path / "n" / "job one" / "input.txt").write_text("POS\tu")
     for folder, job in (("m", "job: 2/3"), ("n", "job one")):
         assert [r.job_id for r in read_manifest(spark, str(tmp_path / folder)).collect()] == [job]
+
+
+def test_pair_lines_of_two_bare_sides_need_no_pattern(spark):
+    """They are told by their bytes; all others as the pattern says, whatever stands between and behind the sides."""
+    lines = [
+        "X a Y\tX b Y", "X a Y\tY b X\r", " X a to Y \t\x01X b Y", "X a Y\tX b Y\tnote", "X a Y\tX b Y\tno\rte", "X a Y\tX b Y\tnote\r",
+        "X  Y\tX b Y", "X   Y\tX b Y", "X Y\tX b Y", "X a Y", "X a Y\t", "\tX a Y", "X a Y\t\tX b Y", "X a Y\tX b Y\r\r", "X a Y\tX b Y\u2028",
+        "X a Y\u0085\tX b Y", "X \u00e9\U0001f600 Y\tY \u00e8 Y", "Z a Y\tX b Y", "X a\rb Y\tX c\u2028d X", "\rX a Y\tX b Y", "X a Y\tX b Y\t", "", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
+    side = F.split("value", "\t")
+    kept = df.where(F.col("value").rlike(PAIR_LINE)).select("i", trimmed(side[0]).alias("lhs"), trimmed(side[1]).alias("rhs"))
+    want = [tuple(r) for r in kept.orderBy("i").collect()]
+    parsed = parse_pairs(df)
+    assert [tuple(r) for r in parsed.select("i", "lhs", "rhs").orderBy("i").collect()] == want and len(want) > 8
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "THEN true ELSE RLIKE" in plan

@@ -270,3 +270,28 @@ def test_similar_templates_store_no_row_for_every_two_words(spark, monkeypatch):
     monkeypatch.setattr(alike, "materialize", seen)
     assert pairs.similar_templates(bigrams, 3, 0.5).count() == 3 * 120
     assert stored and max(stored.values()) <= 3 * len(rows)
+
+
+def test_path_similarity_counts_words_and_not_bigrams(spark, monkeypatch):
+    """The totals come from one table of words, not from every bigram sent to meet the wanted fillers."""
+    import random
+
+    rng = random.Random(3)
+    bigrams = Counter((f"w{rng.randrange(12)}", f"w{rng.randrange(12)}") for _ in range(400))
+    rows = spark.createDataFrame([("en", a, b, n) for (a, b), n in bigrams.items()], "lang string, w1 string, w2 string, n long")
+    given = spark.createDataFrame([("en", "w1", "w2"), ("en", "w3", "w4")], "lang string, p string, q string")
+    rows_of = {}
+    kept = pairs.materialize
+
+    def seen(df, label="table"):
+        out = kept(df, label)
+        rows_of[label] = out.count()
+        return out
+
+    monkeypatch.setattr(pairs, "materialize", seen)
+    got = {(r.p, r.q): r.similarity for r in pairs.path_similarity(rows, given).collect()}
+    best = brute_similar(bigrams, 99, 0.0, 1)
+    want = {(p, q): s for (p, _), (q, s) in best.items()}
+    assert got == {("w1", "w2"): want["w1", "w2"], ("w3", "w4"): want["w3", "w4"]} and any(got.values())
+    # every word once for each place; what the given words have is not stored to be counted again
+    assert rows_of["marginals"] == len({a for a, _ in bigrams}) + len({b for _, b in bigrams}) and "fillers" not in rows_of

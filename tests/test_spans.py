@@ -117,3 +117,13 @@ def test_counts(spark):
 def test_nothing_is_shuffled(spark, trees):
     plan = rows_of(spark, trees)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_rules_of_whole_trees(spark, tmp_path):
+    """The query counts what stands below every node, the tags of phrases and beside them included."""
+    from textmill.plans.queries import REGISTRY
+
+    docs = spark.createDataFrame([(1, "It is the dog. The dog ran.")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in REGISTRY["tree_rules"](spark, str(tmp_path)).collect()}
+    assert got == {("ROOT", "S", 2), ("S", "PRP VBZ NP .", 1), ("S", "NP .", 1), ("NP", "DT NN", 1), ("NP", "DT NN NN", 1)}
